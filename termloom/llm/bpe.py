@@ -23,7 +23,6 @@ from __future__ import annotations
 import base64
 import heapq
 import sys
-import unicodedata
 from collections.abc import Iterator
 from hashlib import sha256
 from itertools import pairwise
@@ -32,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from termloom.llm.codepoints import kinds
 from termloom.llm.common import arrow_map, only
 
 #: Code points a scan works on at once, and bytes that the merge cache may take.
@@ -50,9 +50,8 @@ IN_L, IN_N, IN_O, IN_W, TIED, ONE_MORE, TWO_MORE, FRESH = range(8)
 
 
 def code_point_classes() -> np.ndarray:
-    """LETTER, NUMBER, SPACE or OTHER for every code point, from the Unicode data of this Python."""
-    kinds = {"L": LETTER, "N": NUMBER}
-    table = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
+    """LETTER, NUMBER, SPACE or OTHER for every code point."""
+    table = kinds(LETTER, NUMBER, OTHER)
     table[WHITE] = SPACE
     return table
 

@@ -15,14 +15,33 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termloom.llm.secretscan import secret_spans
+
+    return secret_spans(table(spark, sf_dir, "documents")).drop("base", "found")
+
+
+def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termloom.llm.quality import quality
+
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from termloom.llm.bpe import encode_documents
 
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path(), keep_ids=False)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termloom.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_byte_bpe": op7_byte_bpe}
+    """By name: every function of this module called opN_<name>."""
+    return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
