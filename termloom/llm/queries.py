@@ -27,6 +27,12 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op6_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termloom.llm.htmltext import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from termloom.llm.bpe import encode_documents
 
