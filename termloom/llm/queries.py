@@ -45,6 +45,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op10_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termloom.llm.jaccard import similar
+
+    return similar(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name: every function of this module called opN_<name>."""
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
