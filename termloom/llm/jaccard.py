@@ -37,10 +37,9 @@ from pyspark.sql import functions as F
 
 from termloom.llm.common import arrow_map, materialise, only
 from termloom.llm.components import components, local_forest
+from termloom.llm.sketch import rarest_first, sketch
 from termloom.llm.wordhash import WordHasher, mix, shingles
 
-#: Cells of the sketch (as a power of two) and cells of one of its rows.
-CELLS, ROW = 22, 4096
 #: Prefixes that share a shingle beyond which it ties them to one; nodes of a block.
 HOT, BLOCK = 24, 384
 #: Matrix columns at a time while verifying.
@@ -54,46 +53,13 @@ def _sets(column: pa.Array, hasher: WordHasher, k: int) -> Iterator[tuple[int, n
         yield i, s[np.concatenate(([True], s[1:] != s[:-1]))] if len(s) else s
 
 
-def sketch(docs: DataFrame, k: int) -> np.ndarray:
-    """Occurrences of all shingles in 2**CELLS hashed cells: rows are summed in tasks and then across them."""
-    rows = 1 << CELLS - ROW.bit_length() + 1
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, hasher = np.zeros(1 << CELLS, np.uint32), WordHasher(lower=True)
-        for batch in batches:
-            for _, words in hasher.texts(batch.column(0)):
-                np.add.at(cells, (shingles(words, k) >> np.uint64(64 - CELLS)).astype(np.int64), np.uint32(1))
-        yield from emit(cells.reshape(rows, ROW), range(rows))
-
-    def emit(cells, which) -> Iterator[pa.RecordBatch]:
-        full = [i for i in which if cells[i].any()]
-        for a in range(0, len(full), 256):
-            some = full[a : a + 256]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([cells[i].tobytes() for i in some], pa.binary())], ["row", "cells"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for row, cells in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                counts = np.frombuffer(cells.as_buffer(), np.uint32).astype(np.uint64)
-                sums[row] = sums[row] + counts if row in sums else counts
-        top = np.uint64(0xFFFFFFFF)
-        yield from emit({i: np.minimum(c, top).astype(np.uint32) for i, c in sums.items()}, sorted(sums))
-
-    schema = "row int, cells binary"
-    out = np.zeros((rows, ROW), np.uint32)
-    for r in docs.select("text").mapInArrow(count, schema).repartition("row").mapInArrow(add, schema).toLocalIterator():
-        out[r["row"]] = np.frombuffer(r["cells"], np.uint32)
-    return out.reshape(-1)
-
-
 def prefix_size(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den) + 1
 
 
 def _described(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """A row for each document: its own number, set size and signature, prefix and the prefix's hash."""
-    counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, k))
+    counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, k, lower=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, cells, row = WordHasher(lower=True), counts.value, TaskContext.get().partitionId() << 36
@@ -101,7 +67,7 @@ def _described(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             n, s1, s2, g, prefixes = [], [], [], [], []
             for _, s in _sets(batch.column("text"), hasher, k):
                 n.append(len(s))
-                order = np.argsort(np.minimum(cells[(s >> np.uint64(64 - CELLS)).astype(np.int64)], 0x3FFFFF).astype(np.uint64) << np.uint64(42) | s >> np.uint64(22), kind="stable")
+                order = np.argsort(rarest_first(s, cells), kind="stable")
                 prefix = s[order[: prefix_size(len(s), num, den)]] if len(s) else s
                 with np.errstate(over="ignore"):
                     s1.append(mix(s + np.uint64(1)).sum(dtype=np.uint64))

@@ -39,6 +39,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), vocabulary_path(), keep_ids=False)
 
 
+def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termloom.llm.substrings import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), size=20, keep_text=False)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from termloom.llm.langid import identify
 
