@@ -194,10 +194,11 @@ SCHEMA = "lang_pred string, score double, rejected boolean"
 
 
 def _predict(df: DataFrame, model: Model | None, letters: np.ndarray, make_columns, schema) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast((model, letters))  # fixed size: code points, and BUCKETS x LANGUAGES at most
+    shared = df.sparkSession.sparkContext.broadcast((model and (model.languages, model.table, model.bias, model.reject_below), letters))  # fixed size: code points, and BUCKETS x LANGUAGES at most
 
     def make():
-        model, letters = shared.value
+        fields, letters = shared.value
+        model = fields and Model(*fields)
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [x or "" for x in batch.column("text").to_pylist()]

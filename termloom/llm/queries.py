@@ -15,6 +15,14 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from termloom.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from termloom.llm.secretscan import secret_spans
 
@@ -27,6 +35,12 @@ def op3_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op4_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termloom.llm.license import license_notices
+
+    return license_notices(table(spark, sf_dir, "documents"))
+
+
 def op6_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from termloom.llm.htmltext import main_text
 
