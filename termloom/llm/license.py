@@ -107,7 +107,7 @@ class Template:
         self.span = int(len(self.words) * STRETCH) + 1
         # any text that covers the template has one of these words: together they are more than may be missing
         self.signs: set[str] = set()
-        counts = Counter(self.words)
+        self.counts = counts = Counter(self.words)
         for w in sorted(counts, key=lambda w: (-len(w), w)):
             if sum(counts[s] for s in self.signs) > len(self.words) - self.need:
                 break
@@ -136,12 +136,14 @@ class Template:
             a, b = todo.pop()
             if b - a < self.need:
                 continue
-            # a long stretch may hold several notices: its windows are aligned one by one, the first that does counts
+            # a stretch may hold several notices: its windows are aligned one by one, the first that covers counts
             hit = None
-            for start in range(a, max(a + 1, b - self.span + 1)):
+            for start in range(a, b - int(self.need) + 1):
                 if words[start] not in self.bag:
                     continue
                 end = min(b, start + self.span)
+                if (self.counts & Counter(words[start:end])).total() < self.need:
+                    continue
                 pairs = patience(self.words, words[start:end])
                 if len(pairs) >= self.need:
                     nearer = patience(self.words, words[start + pairs[0][1] : start + pairs[-1][1] + 1])
