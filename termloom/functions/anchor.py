@@ -48,7 +48,6 @@ def slice_of(term: str | None, text: str | None) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
 def _folding(term: pd.Series, text: pd.Series) -> pd.Series:
     return pd.Series([slice_of(a, b) for a, b in zip(term, text, strict=True)], dtype=object)
 
@@ -60,4 +59,4 @@ def exact(term: Column, text: Column) -> Column:
 
 def anchor(term: Column, text: Column) -> Column:
     """The sentence's slice for a term, or null; only what isn't found exactly leaves the JVM."""
-    return F.coalesce(exact(term, text), F.when(F.length(F.trim(term)) > 0, _folding(term, text)))
+    return F.coalesce(exact(term, text), F.when(F.length(F.trim(term)) > 0, F.pandas_udf(_folding, "string")(term, text)))

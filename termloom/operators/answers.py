@@ -53,11 +53,14 @@ def _items(text: str | None) -> dict:
     return {"parsed": ok, "empty": ok and not found, "items": items}
 
 
-@F.pandas_udf(ITEMS)
-def parse_answer(content: pd.Series) -> pd.DataFrame:
+def _parse(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([_items(x) for x in content], columns=["parsed", "empty", "items"])
 
 
+def parse_answer(content: Column) -> Column:
+    return F.pandas_udf(_parse, ITEMS)(content)
+
+
 def parsed(responses: DataFrame) -> DataFrame:
     """Responses with parsed, empty and items."""
     return responses.withColumn("answer", parse_answer(F.col("content"))).select("*", "answer.parsed", "answer.empty", "answer.items").drop("answer")
