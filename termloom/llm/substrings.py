@@ -10,19 +10,20 @@ over it has the same words as one that starts earlier.
 2. Anchors that occur once in the corpus end there: their windows are unique.
    The others are found by a filter of bits; what it lets through in error is
    only more work.
-3. Segments are dealt to shards by anchor.  A shard holds each different segment
-   once, with its first occurrence; it builds a compressed FM-index over them
-   (wavelet tree over the Burrows-Wheeler transform) and streams the segments
-   through it: backward search, one step a word, gives for each position the
-   interval of its match, and intervals of matches of at least `size` words lie
-   in one run of suffixes, whose first occurrence is the earliest.
+3. Equal segments collapse to one, with its first occurrence and its number.
+   Different segments of one anchor are dealt to shards by the anchor.  A shard
+   builds a compressed FM-index over them (wavelet tree over the Burrows-Wheeler
+   transform) and streams the segments through it: backward search, one step a
+   word, gives for each position the interval of its match, and intervals of
+   matches of at least `size` words lie in one run of suffixes, whose first
+   occurrence is the earliest.  The only segment of an anchor has no other to
+   match; its copies are its matches.
 4. Each occurrence of a segment learns which of its windows started earlier
    elsewhere, and each document loses the words under them.
 
-Common segments are collapsed in the tasks that read them, so a passage that a
-third of all documents share is one entry of a shard; and because anchors are
-rare runs, a window that crosses the edge of such a passage is anchored outside
-it.
+Equal segments are counted before the shuffle, so a passage that a third of all
+documents share is one entry of a shard; and because anchors are rare runs, a
+window that crosses the edge of such a passage is anchored outside it.
 
 Defined results: a null or wordless text has no words and the hash of no bytes;
 rows that repeat doc_id and text count as one document and get the same result;
@@ -116,63 +117,73 @@ def recurring(docs: DataFrame, size: int, shared) -> tuple[np.ndarray, int]:
     return out.reshape(-1), power
 
 
-SEGMENTS = "doc_id long, t long, starts array<int>, seeds array<long>, contents array<long>, seed long, content long, words binary, first int, n long"
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+SEGMENTS = "doc_id long, t long, starts array<int>, windows array<int>, seeds array<long>, contents array<long>"
+
+
+def content_hashes(words: np.ndarray, first: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the words from each first to its end, read off one running sum over the document."""
+    n = len(words)
+    with np.errstate(over="ignore"):
+        step = np.full(n + 1, _BASE, np.uint64)
+        step[0] = 1
+        power = np.cumprod(step, dtype=np.uint64)
+        step[1:] = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        inverse = np.cumprod(step, dtype=np.uint64)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(words + np.uint64(1)) * power[:n], dtype=np.uint64)))
+        return mix((total[ends] - total[first]) * inverse[first] + (ends - first).astype(np.uint64))
 
 
 def _segments(docs: DataFrame, size: int, shared, bits) -> DataFrame:
-    """Rows of documents (starts, seeds and contents of segments), and of different segments with their first occurrence."""
+    """For each document the segments whose anchor may recur: starts, numbers of windows, anchors, hashes of content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, cells, (table, power) = WordHasher(), shared.value, bits.value
-        known: dict[tuple[int, int], list] = {}
-        order = lambda d, t, s: (d is None, d or 0, t, s)
         for batch in batches:
-            out = []
-            ids, hashes = batch.column("doc_id").to_pylist(), batch.column("t").to_pylist()
+            rows, out = [], []
             for i, words in hasher.texts(batch.column("text")):
                 first, windows, seeds = anchored(words, size, cells)
                 at = (seeds >> np.uint64(64 - power)).astype(np.int64)
                 hit = np.flatnonzero(table[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
-                if not len(hit):
-                    continue
-                first, windows, seeds = first[hit], windows[hit], seeds[hit].view(np.int64)
-                ends = first + windows + size - 1
-                with np.errstate(over="ignore"):
-                    spread = mix(words * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
-                contents = np.array([_content(spread[a:b]) for a, b in zip(first.tolist(), ends.tolist(), strict=True)], np.uint64).view(np.int64)
-                out.append((ids[i], hashes[i], first.astype(np.int32), seeds, contents))
-                for a, b, seed, content in zip(first.tolist(), ends.tolist(), seeds.tolist(), contents.tolist(), strict=True):
-                    own = known.get((seed, content))
-                    if own is None:
-                        known[seed, content] = [ids[i], hashes[i], a, words[a:b].tobytes(), 1]
-                    else:
-                        own[4] += 1
-                        if order(ids[i], hashes[i], a) < order(*own[:3]):
-                            own[:3] = ids[i], hashes[i], a
-            if out:
-                d, t, s, e, c = zip(*out, strict=True)
-                yield _batch(doc_id=d, t=t, starts=list(s), seeds=list(e), contents=list(c))
-        rows = list(known.items())
-        for a in range(0, len(rows), 5000):
-            some = rows[a : a + 5000]
-            yield _batch(doc_id=[v[0] for _, v in some], t=[v[1] for _, v in some], first=[v[2] for _, v in some], words=[v[3] for _, v in some], n=[v[4] for _, v in some], seed=[k[0] for k, _ in some], content=[k[1] for k, _ in some])
+                if len(hit):
+                    first, windows = first[hit], windows[hit]
+                    out.append((first.astype(np.int32), windows.astype(np.int32), seeds[hit].view(np.int64), content_hashes(words, first, first + windows + size - 1).view(np.int64)))
+                    rows.append(i)
+            if rows:
+                kinds = [pa.list_(pa.int32())] * 2 + [pa.list_(pa.int64())] * 2
+                keep = pa.array(rows)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(keep), batch.column("t").take(keep), *[pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]], [c.split()[0] for c in SEGMENTS.split(", ")])
 
     return docs.mapInArrow(run, SEGMENTS)
 
 
-_POWERS = mix(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
-
+def _words_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """The words of wanted segments (seed, content, n, windows and first occurrence), read at that occurrence."""
+    spots = wanted.select(F.col("first.d").alias("d"), F.col("first.t").alias("h"), F.struct("seed", "content", "n", "windows", F.col("first.s").alias("s")).alias("x")).groupBy("d", "h").agg(F.collect_list("x").alias("spots"))  # at most the segments of one document
+    once = docs.join(spots, docs["doc_id"].eqNullSafe(spots["d"]) & (docs["t"] == spots["h"])).select("doc_id", "t", "text", "spots")
 
-def _content(words: np.ndarray) -> np.uint64:
-    """Hash of a segment: it depends on the words, their order and number."""
-    with np.errstate(over="ignore"):
-        return (words * _POWERS[: len(words)]).sum(dtype=np.uint64) + np.uint64(len(words))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, seen = WordHasher(), set()
+        for batch in batches:
+            ids, ts = batch.column("doc_id").to_pylist(), batch.column("t").to_pylist()
+            spots, out = batch.column("spots").to_pylist(), []
+            for i, words in hasher.texts(batch.column("text")):
+                if (ids[i], ts[i]) in seen:
+                    continue  # a repeated row
+                seen.add((ids[i], ts[i]))
+                out += [(x["seed"], x["content"], words[x["s"] : x["s"] + x["windows"] + size - 1].tobytes(), ids[i], ts[i], x["s"], x["n"]) for x in spots[i]]
+                if len(out) > 5000:
+                    yield batch_of(out)
+                    out = []
+            if out:
+                yield batch_of(out)
 
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["seed", "content", "words", "doc_id", "t", "first", "n"])
 
-def _batch(**columns) -> pa.RecordBatch:
-    kinds = {"doc_id": pa.int64(), "t": pa.int64(), "starts": pa.list_(pa.int32()), "seeds": pa.list_(pa.int64()), "contents": pa.list_(pa.int64()), "seed": pa.int64(), "content": pa.int64(), "words": pa.binary(), "first": pa.int32(), "n": pa.int64()}
-    n = len(next(iter(columns.values())))
-    return pa.RecordBatch.from_arrays([pa.array(columns[k], v) if k in columns else pa.nulls(n, v) for k, v in kinds.items()], list(kinds))
+    return once.mapInArrow(run, "seed long, content long, words binary, doc_id long, t long, first int, n long")
 
 
 def earliest(parts: list[tuple], size: int) -> list[tuple]:
@@ -244,31 +255,23 @@ def _indexed(segments: DataFrame, size: int) -> DataFrame:
     """Shards of segments by anchor; within a task, one index after another over whole anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], list] = {}
+        held: list[tuple] = []
         words, last = 0, None
 
         def flush():
-            if held:
-                out = earliest([(*k, *v) for k, v in held.items()], size)
-                if out:
-                    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["seed", "content", "offsets", "docs", "ts", "places"])
-                held.clear()
+            if out := earliest(held, size) if held else []:
+                kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["seed", "content", "offsets", "docs", "ts", "places"])
+            held.clear()
 
         for batch in batches:
-            for seed, content, text, doc_id, t, first, n in zip(*[batch.column(c).to_pylist() for c in ("seed", "content", "words", "doc_id", "t", "first", "n")], strict=True):
-                if seed != last and words > INDEX:
+            for row in zip(*[batch.column(c).to_pylist() for c in ("seed", "content", "words", "doc_id", "t", "first", "n")], strict=True):
+                if row[0] != last and words > INDEX:
                     yield from flush()
                     words = 0
-                last = seed
-                own = held.get((seed, content))
-                if own is None:
-                    held[seed, content] = [text, doc_id, t, first, n]
-                    words += len(text) // 8
-                else:
-                    own[4] += n
-                    if (doc_id is None, doc_id or 0, t, first) < (own[1] is None, own[1] or 0, own[2], own[3]):
-                        own[1:4] = doc_id, t, first
+                last = row[0]
+                held.append(row)
+                words += len(row[2]) // 8
         yield from flush()
 
     return segments.repartition("seed").sortWithinPartitions("seed").mapInArrow(run, RESULTS)
@@ -281,11 +284,23 @@ def remove_repeats(docs: DataFrame, size: int = 20, keep_text: bool = True) -> D
     shared = context.broadcast(sketch(docs, SEED, lower=False))  # 2**CELLS counts, whatever the corpus
     bits = context.broadcast(recurring(docs, size, shared))  # 2**MOST_BITS bits at most
     rows = materialise(_segments(docs, size, shared, bits), "segments")
-    results = materialise(_indexed(rows.where("content is not null").select("seed", "content", "words", "doc_id", "t", "first", "n"), size), "matches")
-    places = rows.where("content is null").select("doc_id", "t", F.explode(F.arrays_zip("starts", "seeds", "contents")).alias("s")).select("doc_id", "t", F.col("s.starts").alias("start"), F.col("s.seeds").alias("seed"), F.col("s.contents").alias("content"))
+    places = rows.select("doc_id", "t", F.explode(F.arrays_zip("starts", "windows", "seeds", "contents")).alias("s")).select("doc_id", "t", F.col("s.starts").alias("start"), F.col("s.windows").alias("windows"), F.col("s.seeds").alias("seed"), F.col("s.contents").alias("content"))
+    spot = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("d"), F.col("t").alias("t"), F.col("start").alias("s"))
+    different = places.groupBy("seed", "content").agg(F.min(spot).alias("first"), F.count(F.lit(1)).alias("n"), F.max("windows").alias("windows"))
+    different = materialise(different, "contents")
+    per_seed = different.groupBy("seed").agg(F.count(F.lit(1)).alias("kinds"))
+    # a segment that is its anchor's only one matches none but its own copies; the others go to the index
+    marked = different.join(per_seed, "seed")
+    copies = marked.where("kinds = 1 and n > 1").select("seed", "content", "first")
+    found = materialise(_indexed(_words_of(docs, marked.where("kinds > 1"), size), size), "matches")
+    none = lambda kind: F.lit(None).cast(kind)
+    results = found.select("*", none(different.schema["first"].dataType).alias("first")).unionByName(copies.select("seed", "content", none("array<int>").alias("offsets"), none("array<long>").alias("docs"), none("array<long>").alias("ts"), none("array<int>").alias("places"), "first"))
     each = F.arrays_zip("offsets", "docs", "ts", "places")
     later = F.filter(each, lambda w: ~(w["docs"].eqNullSafe(F.col("doc_id")) & (w["ts"] == F.col("t")) & (w["places"] == F.col("start") + w["offsets"])))
-    gone = places.join(results, ["seed", "content"]).select("doc_id", "t", F.transform(later, lambda w: F.col("start") + w["offsets"]).alias("w")).where(F.size("w") > 0)
+    same = F.col("first.d").eqNullSafe(F.col("doc_id")) & (F.col("first.t") == F.col("t")) & (F.col("first.s") == F.col("start"))
+    whole = F.when(same, F.array().cast("array<int>")).otherwise(F.sequence("start", F.col("start") + F.col("windows") - 1))
+    starts = F.when(F.col("first").isNotNull(), whole).otherwise(F.transform(later, lambda w: F.col("start") + w["offsets"]))
+    gone = places.join(results, ["seed", "content"]).select("doc_id", "t", starts.alias("w")).where(F.size("w") > 0)
     gone = gone.groupBy("doc_id", "t").agg(F.array_distinct(F.flatten(F.collect_list("w"))).alias("windows"))  # at most the windows of one document
     gone = gone.select(F.col("doc_id").alias("d"), F.col("t").alias("h"), "windows")
     joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["d"]) & (docs["t"] == gone["h"]), "left").select("doc_id", "text", "windows")
