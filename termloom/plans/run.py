@@ -12,11 +12,12 @@ from termloom.functions.morph import check_form
 from termloom.functions.text import usable
 from termloom.operators import answers, delivery, metrics, planning
 from termloom.operators.provider import Provider, RuleProvider, respond
+from termloom.sources.scratch import materialise
 
 
 @dataclass
 class Run:
-    """Lazy tables of a run; nothing is paid for before a responses table exists."""
+    """Tables of a run; responses and validated rows are written before anything reads them twice."""
 
     batches: DataFrame
     answers: DataFrame
@@ -40,17 +41,17 @@ def plan(sentences: DataFrame, batch_size: int = planning.BATCH, limit_sentences
 
 def extract(batches: DataFrame, responses: DataFrame, lang: str | None = None, check=check_form) -> Run:
     """What responses say about batches."""
-    read = answers.parsed(responses)
-    rows = answers.validated(answers.proposals(read), batches, F.lit(lang).cast("string"), check)
+    read = materialise(answers.parsed(responses), "answers")
+    rows = materialise(answers.validated(answers.proposals(read), batches, F.lit(lang).cast("string"), check), "rows")
     return Run(batches, read, rows, answers.outcomes(batches, read, rows), delivery.finish(rows))
 
 
 def corrected(first: Run, make: Callable[[], Provider], lang: str | None = None, check=check_form) -> Run:
     """A second answer for batches that need one; each batch keeps the better of the two."""
-    todo = first.outcomes.where("needs_retry").select("file", "batch_idx")
+    todo = materialise(first.outcomes.where("needs_retry").select("file", "batch_idx"), "retries")
     again = first.batches.join(todo, ["file", "batch_idx"]).join(answers.feedback(first.rows, first.answers), ["file", "batch_idx"], "left")
     second = extract(first.batches.join(todo, ["file", "batch_idx"], "left_semi"), respond(again, make, kind="correction"), lang, check)
-    kept = answers.better(first.outcomes, second.outcomes).select("file", "batch_idx", "kind")
+    kept = materialise(answers.better(first.outcomes, second.outcomes).select("file", "batch_idx", "kind"), "kept")
 
     def of(kind: str, df: DataFrame) -> DataFrame:
         return df.join(kept.where(F.col("kind") == kind).select("file", "batch_idx"), ["file", "batch_idx"], "left_semi")
@@ -62,6 +63,6 @@ def corrected(first: Run, make: Callable[[], Provider], lang: str | None = None,
 
 
 def offline(sentences: DataFrame, make: Callable[[], Provider] = RuleProvider, lang: str | None = None, batch_size: int = planning.BATCH) -> Run:
-    """A run with the offline provider, in one lazy plan."""
-    planned = plan(sentences, batch_size)
+    """A run with the offline provider."""
+    planned = materialise(plan(sentences, batch_size), "batches")
     return extract(planned, respond(planned, make), lang)

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.functions.text import TYPES
 from termloom.operators.delivery import COLUMNS, ORDER
 
 SHEET = "terms"
@@ -93,6 +94,28 @@ def package(books: DataFrame, path: str, extra: dict[str, bytes] | None = None)
     return count
 
 
+FIELDS = {
+    "sent_id": "number of the sentence in its file",
+    "src_text": "the source sentence as it stands",
+    "tgt_text": "the target sentence as it stands",
+    "term_src": "the term, a verbatim slice of src_text",
+    "term_tgt": "the term, a verbatim slice of tgt_text",
+    "types": "types of the term, separated by commas: " + ", ".join(TYPES),
+    "note": "always empty",
+    "term_src_dict": "dictionary form of term_src, or the slice itself",
+    "term_tgt_dict": "dictionary form of term_tgt, or the slice itself",
+}
+
+
+def field_description() -> bytes:
+    """The delivered columns in order, for the package."""
+    return "\n".join(f"{i}. {c}: {FIELDS[c]}" for i, c in enumerate(COLUMNS, 1)).encode()
+
+
+def read_me(lang: str, files: int, rows: int) -> bytes:
+    return f"Terms of the {lang} corpus: {rows} rows in {files} files, one sheet '{SHEET}' in each.\nColumns are described in FIELDS.txt.\n".encode()
+
+
 def raw_dump(rows: DataFrame, path: str) -> None:
     """All rows as JSON with spans and delivered forms."""
     rows.write.mode("overwrite").json(path)

@@ -160,7 +160,7 @@ def test_sinks(spark, sentences, tmp_path):
     books = sinks.sheets(rows)
     header, body = sinks.read_xlsx(books.first().content)
     assert header == delivery.COLUMNS and [r[0] for r in body] == list(range(1, 8)) and body[0][1].startswith("源句子1")
-    assert sinks.package(books, f"{tmp_path}/p.zip", {"README.md": b"x"}) == 1
+    assert sinks.package(books, f"{tmp_path}/p.zip", {"README.md": sinks.read_me("es", 1, 7), "FIELDS.txt": sinks.field_description()}) == 1
     assert sinks.package(books.limit(0), f"{tmp_path}/none.zip") == 0 and not (tmp_path / "none.zip").exists()
     sinks.write_tables(rows, f"{tmp_path}/t")
     with pytest.raises(Exception, match="already exists"):
