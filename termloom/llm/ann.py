@@ -4,8 +4,8 @@ Centroids are fitted on a bounded sample by k-means whose distances grow with a
 list's size, so lists stay balanced.  A graph of neighbouring centroids is kept
 in memory and searched best first, for a whole batch of vectors at once.  Every
 vector of the table goes to the list of its nearest centroid, and vectors near
-a boundary also to further lists, each in another direction (no list is taken
-whose centroid is nearer to a list already taken than to the vector).  A query
+a boundary also to the lists beyond it, each in another direction (a centroid
+close to one already taken adds nothing and is passed over).  A query
 reads the lists whose centroids are at most `ratio` times as far as the nearest
 one; distances to what they hold are exact, in double precision.
 
@@ -31,14 +31,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.common import materialise, only
+from termloom.llm.common import materialise, only, tidied
 
 #: Rows the centroids are fitted on at most, and most centroids.
 SAMPLE, MOST_LISTS = 20_000, 4096
-#: Rows of a list on average; neighbours in the graph; length of the search's queue; lists that a vector may be in.
-PER_LIST, DEGREE, QUEUE, COPIES = 150, 24, 96, 6
+#: Rows of a list on average; neighbours in the graph; lists that a vector may be in, and length of the queue that finds them.
+PER_LIST, DEGREE, COPIES, PLACES = 150, 24, 4, 16
+#: Length of the queue of a query's search: half of the lists, within these bounds.
+QUEUES = 96, 1024
 #: A vector joins, and a query reads, lists up to so many times the nearest's distance; entries that a query's lists hold at least, in multiples of k.
-NEAR, RATIO, ENOUGH = 1.15, 1.30, 40
+NEAR, RATIO, ENOUGH = 1.03, 1.20, 40
+#: Share of the vector's distance that lists of one vector lie apart at least, squared.
+APART = 0.1
 CHUNK, QUERIES = 2000, 500
 
 
@@ -47,7 +51,7 @@ class Lists:
     centroids: np.ndarray
     graph: np.ndarray
 
-    def search(self, x: np.ndarray, queue: int = QUEUE) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, x: np.ndarray, queue: int) -> tuple[np.ndarray, np.ndarray]:
         """(centroids, distances) near each row of x, nearest first; -1 fills up. Best first over the graph."""
         n, k = len(x), len(self.centroids)
         queue = min(queue, k)
@@ -106,14 +110,14 @@ def fit(x: np.ndarray, k: int, seed: int = 5, rounds: int = 10) -> Lists:
 
 def places(lists: Lists, x: np.ndarray) -> list[np.ndarray]:
     """The lists of each vector: the nearest, and those near a boundary in other directions."""
-    ids, far = lists.search(x, 32)
+    ids, far = lists.search(x, PLACES)
     out = []
     for own, d in zip(ids, far, strict=True):
         taken = [own[0]]
         for c, r in zip(own[1:], d[1:], strict=True):
             if c < 0 or r > NEAR * d[0] or len(taken) == COPIES:
                 break
-            if all(((lists.centroids[c] - lists.centroids[t]) ** 2).sum() > r * r for t in taken):
+            if all(((lists.centroids[c] - lists.centroids[t]) ** 2).sum() > APART * r * r for t in taken):
                 taken.append(c)
         out.append(np.array(taken))
     return out
@@ -153,23 +157,24 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, ratio: float = RAT
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own), pa.int32()), some.column("vec_id").take(pa.array(at)), some.column("embedding").take(pa.array(at))], ["list", "id", "v"])
 
     kind = vectors.schema["embedding"].dataType.simpleString()
-    posted = materialise(rows.mapInArrow(post, f"list int, id long, v {kind}"), "postings")
+    posted = materialise(rows.mapInArrow(tidied(post), f"list int, id long, v {kind}"), "postings")
     held = {r["list"]: r["count"] for r in posted.groupBy("list").count().collect()}  # one entry a list
     count = spark.sparkContext.broadcast(np.array([held.get(i, 0) for i in range(len(lists.centroids))]))
     least = ENOUGH * k
+    queue = min(QUEUES[1], max(QUEUES[0], len(lists.centroids) // 2))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = Lists(*shared.value)
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 some = batch.slice(a, 1000)
-                ids, far = lists.search(_matrix(some.column("embedding"), dim))
+                ids, far = lists.search(_matrix(some.column("embedding"), dim), queue)
                 before = np.cumsum(np.where(ids >= 0, count.value[ids], 0), axis=1) - np.where(ids >= 0, count.value[ids], 0)
                 take = (ids >= 0) & ((far <= ratio * far[:, :1]) | (before < least))
                 at, place = np.nonzero(take)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at, place], pa.int32()), some.column("vec_id").take(pa.array(at)), some.column("embedding").take(pa.array(at))], ["list", "id", "v"])
 
-    asked = materialise(rows.where(queries).mapInArrow(probe, f"list int, id long, v {kind}"), "probes")
+    asked = materialise(rows.where(queries).mapInArrow(tidied(probe), f"list int, id long, v {kind}"), "probes")
     busy = {r["list"]: r["count"] for r in asked.groupBy("list").count().collect()}
     if not busy:
         return spark.createDataFrame([], schema)
@@ -210,7 +215,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, ratio: float = RAT
         q, v, s = zip(*out, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], ["query_id", "vec_id", "score"])
 
-    found = left.unionByName(right).repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(compare, "query_id long, vec_id long, score double")
+    found = left.unionByName(right).repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(tidied(compare), "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
