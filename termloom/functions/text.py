@@ -52,7 +52,7 @@ def norm_types(c: Column | str) -> Column:
     """Types of a separated string or an array of such: known ones, each once, `other` only alone."""
     parts = F.split(F.coalesce(_col(c).cast("string"), F.lit("")), TYPE_SPLIT)
     known = F.array(*[F.lit(t) for t in TYPES])
-    kept = F.array_distinct(F.filter(F.transform(parts, lambda x: F.lower(F.trim(x))), lambda x: F.array_contains(known, x)))
+    kept = F.array_distinct(F.filter(F.transform(parts, lambda x: F.lower(clean(x))), lambda x: F.array_contains(known, x)))
     return F.when(F.size(kept) > 1, F.array_remove(kept, "other")).otherwise(kept)
 
 

@@ -113,6 +113,7 @@ def outcomes(batches: DataFrame, answers: DataFrame, rows: DataFrame) -> DataFra
         F.count_if(F.col("type_fallback") & F.col("reject_code").isNull()).alias("n_type_fallback"),
         F.count_if(F.col("form_error").isNotNull() & ~F.col("form_noop")).alias("n_form_fallback"),
         F.count_if(F.col("form_noop")).alias("n_form_noop"),
+        F.count_if(F.col("lang").isin(*LANGUAGES) & F.col("reject_code").isNull() & F.col("form_error").isNull()).alias("n_form_ok"),
     )
     own = answers.select("file", "batch_idx", "ok", "parsed", "empty", "content", F.size("items").alias("n_items"), "finish_reason")
     out = batches.select("file", "batch_idx", "batch_key", "n").join(own, ["file", "batch_idx"], "left").join(sums, ["file", "batch_idx"], "left")

@@ -306,7 +306,7 @@ def run_metrics(spark: SparkSession, d: str) -> DataFrame:
     return m.select("batches", "sentences", "terms_kept", "terms_proposed", F.round("anchor_pass_rate", 6).alias("anchor_pass_rate"), F.round("terms_per_sentence", 6).alias("terms_per_sentence"))
 
 
-@query(RUN + ", g AS (SELECT unnest(['json_ok', 'anchor_pass', 'incomplete', 'skipped', 'analyzer']) AS gate) SELECT gate, CASE WHEN gate = 'anchor_pass' AND kept / proposed < 0.9 THEN 'reject' WHEN gate = 'analyzer' THEN 'reject' ELSE 'pass' END AS verdict FROM g, m")
+@query(RUN + ", g AS (SELECT unnest(['json_ok', 'anchor_pass', 'incomplete', 'skipped', 'balance', 'analyzer', 'call_failures', 'sensitive_refusals', 'rate_limited']) AS gate) SELECT gate, CASE WHEN gate = 'anchor_pass' AND kept / proposed < 0.9 THEN 'reject' WHEN gate = 'analyzer' THEN 'reject' ELSE 'pass' END AS verdict FROM g, m")
 def quality_gates(spark: SparkSession, d: str) -> DataFrame:
     return metrics.gates(offline(_sentences(spark, d), lambda: RuleProvider(noise=3)).metrics(), analyzer_enabled=False).select("gate", "verdict")
 
