@@ -259,5 +259,5 @@ def run_waves(batches: DataFrame, path: str, make: Callable[[], Provider], break
         breakers.add(spark.read.parquet(path).where((F.col("wave") == i)))
         if why := breakers.stop():
             break
-    responses = spark.read.schema(RESPONSE + ", wave int").parquet(path) if n or have else spark.createDataFrame([], RESPONSE + ", wave int")
+    responses = spark.read.schema(RESPONSE).parquet(path) if n or have else spark.createDataFrame([], RESPONSE)
     return responses, worklist(batches, responses), why
