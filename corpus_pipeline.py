@@ -22,15 +22,26 @@ from termloom.llm import bpe, jaccard, langid, mixing, queries, secretscan
 from termloom.llm.common import materialise, table
 
 
+#: Rows of documents that go to a Python worker at once: whole texts, so memory goes with them.
+ARROW_ROWS = "2000"
+
+
+def _whole_texts(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _whole_texts(spark)
     return langid.accepted(docs)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _whole_texts(spark)
     return jaccard.one_of_each(docs, k=5, num=80, den=100)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _whole_texts(spark)
     return secretscan.redact(docs)
 
 
@@ -39,7 +50,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(docs, queries.vocabulary_path()).drop("piece_offsets")
+    _whole_texts(spark)
+    return bpe.encode_documents(docs, queries.vocabulary_path(), keep_offsets=False)
 
 
 STAGES = [("language_id", language_id), ("ngram_join", ngram_join), ("secret_scan", secret_scan), ("mixing", mix), ("byte_bpe", byte_bpe)]

@@ -35,7 +35,7 @@ from termloom.llm.codepoints import kinds
 from termloom.llm.common import arrow_map, only
 
 #: Code points a scan works on at once, and bytes that the merge cache may take.
-CHUNK, CACHE = 1 << 19, 150_000_000
+CHUNK, CACHE = 1 << 18, 40_000_000
 #: Bytes up to which pieces are merged together, round by round; what no rank reaches.
 LONG, NEVER = 96, 1 << 40
 
@@ -133,7 +133,7 @@ class PairTable:
                     right.append(b)
                     joined.append(rank)
         keys, values = self._key(np.array(left), np.array(right)), np.array(joined, dtype=np.int64)
-        self.levels, shift, odd = [], 42, np.uint64(0x9E3779B97F4A7C15)
+        self.levels, shift, odd = [], 44, np.uint64(0x9E3779B97F4A7C15)
         while len(keys):
             slots = (keys * odd) >> np.uint64(shift)
             at, first = np.unique(slots, return_index=True)
@@ -142,7 +142,7 @@ class PairTable:
             self.levels.append((odd, np.uint64(shift), *table))
             rest = np.ones(len(keys), bool)
             rest[first] = False
-            keys, values, shift, odd = keys[rest], values[rest], min(shift + 4, 52), np.uint64(int(odd) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF)
+            keys, values, shift, odd = keys[rest], values[rest], min(shift + 2, 52), np.uint64(int(odd) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF)
 
     @staticmethod
     def _key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -324,16 +324,16 @@ def read_ranks(content: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())}
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, keep_ids: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids (binary, little-endian unsigned 32-bit), piece_offsets, ids_sha256, decoded_sha256.
+def encode_documents(docs: DataFrame, vocabulary: str, keep_ids: bool = True, keep_offsets: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, ids (binary, little-endian unsigned 32-bit), piece_offsets.
 
     vocabulary: the path of a file of ranks, read on the driver and broadcast;
-    its size is that of the vocabulary, whatever the corpus.  keep_ids=False
-    leaves ids and piece_offsets out.  Needs columns doc_id and text.
+    its size is that of the vocabulary, whatever the corpus.  keep_ids and
+    keep_offsets tell whether the last two columns are wanted.  Needs columns doc_id and text.
     """
     with open(vocabulary, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast((f.read(), code_point_classes()))
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, piece_offsets array<int>" * keep_ids
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids + ", piece_offsets array<int>" * keep_offsets
 
     def make():
         content, classes = shared.value
@@ -351,12 +351,16 @@ def encode_documents(docs: DataFrame, vocabulary: str, keep_ids: bool = True) ->
                 decoded.append(sha256(encoder.decode(out)).hexdigest())
                 if keep_ids:
                     ids.append(out)
+                if keep_offsets:
                     offsets.append(at.astype(np.int32))
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hashes), pa.array(decoded)]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                columns += [pa.array(ids, pa.binary()), pa.array(offsets, pa.list_(pa.int32()))]
-                names += ["ids", "piece_offsets"]
+                columns.append(pa.array(ids, pa.binary()))
+                names.append("ids")
+            if keep_offsets:
+                columns.append(pa.array(offsets, pa.list_(pa.int32())))
+                names.append("piece_offsets")
             return pa.RecordBatch.from_arrays(columns, names)
 
         return each

@@ -1,50 +1,25 @@
-"""What the operators share: reading tables, cutting lineage, Arrow plumbing."""
+"""What the operators share: reading tables, and plumbing of Arrow batches."""
 
 from __future__ import annotations
 
-import os
-import uuid
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no shared folder and runs on one machine.
-LOCAL_CHECKPOINTS = "/tmp/checkpoints/termloom"
+from termloom.sources.scratch import materialise
 
+__all__ = ["arrow_map", "materialise", "only", "table", "tidied"]
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir.
+#: Rows that a function over Arrow data sees at once: few, as their texts may be long.
+ROWS = 1000
 
-    A local master without that setting gets a folder of its own; a cluster
-    without it is an error, since a machine-local folder would lose rows.
-    """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
-    os.makedirs(LOCAL_CHECKPOINTS, exist_ok=True)
-    return f"file://{LOCAL_CHECKPOINTS}"
+Batches = Iterator[pa.RecordBatch]
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df once as Parquet in the shared folder and read it back.
-
-    This cuts the lineage: a lost executor makes later stages read the files
-    again instead of computing them anew.  The files go when the session ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/termloom-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:
@@ -52,18 +27,30 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] for n in names])
 
 
-def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str) -> DataFrame:
-    """mapInArrow with state made once a task: make() returns the function for each batch."""
+def tidied(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """run, and then what it freed goes back to the system: workers live on and run many tasks."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        each = make()
-        for batch in batches:
-            if batch.num_rows and (out := each(batch)) is not None:
-                yield out
+    def whole(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return whole
 
-    return df.mapInArrow(run, schema)
 
+def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema) -> DataFrame:
+    """mapInArrow with state made once a task: make() returns the function for each slice of ROWS rows."""
+
+    def run(batches: Batches) -> Batches:
+        each = make()
+        for batch in batches:
+            for a in range(0, batch.num_rows, ROWS):
+                if (out := each(batch.slice(a, ROWS))) is not None:
+                    yield out
 
-def texts_of(column: pa.Array) -> list[str]:
-    """Texts as Python strings; null counts as empty."""
-    return [x or "" for x in column.to_pylist()]
+    return df.mapInArrow(tidied(run), schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import materialise
+from termloom.llm.common import materialise, tidied
 
 
 def local_forest(links: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def local_forest(links: DataFrame) -> DataFrame:
             if move.any():
                 yield pa.RecordBatch.from_arrays([pa.array(ids[move]), pa.array(ids[label[move]])], ["a", "b"])
 
-    return links.mapInArrow(run, "a long, b long")
+    return links.mapInArrow(tidied(run), "a long, b long")
 
 
 def components(links: DataFrame, name: str) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from termloom.llm.common import tidied
 from termloom.llm.wordhash import WordHasher, shingles
 
 #: Cells of the sketch (as a power of two) and cells of one of its rows.
@@ -42,7 +43,7 @@ def sketch(docs: DataFrame, k: int, lower: bool) -> np.ndarray:
 
     schema = "row int, cells binary"
     out = np.zeros((rows, ROW), np.uint32)
-    for r in docs.select("text").mapInArrow(count, schema).repartition("row").mapInArrow(add, schema).toLocalIterator():
+    for r in docs.select("text").mapInArrow(tidied(count), schema).repartition("row").mapInArrow(tidied(add), schema).toLocalIterator():
         out[r["row"]] = np.frombuffer(r["cells"], np.uint32)
     return out.reshape(-1)
 

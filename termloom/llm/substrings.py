@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import arrow_map, materialise
+from termloom.llm.common import arrow_map, materialise, tidied
 from termloom.llm.fmindex import FMIndex
 from termloom.llm.sketch import rarest_first, sketch
 from termloom.llm.wordhash import WordHasher, mix, shingles
@@ -84,7 +84,7 @@ def recurring(docs: DataFrame, size: int, shared) -> tuple[np.ndarray, int]:
             out = [anchored(words, size, cells)[2] for _, words in hasher.texts(batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))], ["seed"])
 
-    again = docs.select("text").mapInArrow(anchors, "seed long").groupBy("seed").count().where("count > 1").select("seed")
+    again = docs.select("text").mapInArrow(tidied(anchors), "seed long").groupBy("seed").count().where("count > 1").select("seed")
     again = materialise(again, "anchors")
     power = min(MOST_BITS, max(LEAST_BITS, int(again.count() * BITS_EACH).bit_length()))
 
@@ -112,7 +112,7 @@ def recurring(docs: DataFrame, size: int, shared) -> tuple[np.ndarray, int]:
         yield from emit(rows)
 
     out = np.zeros(((1 << power) // BLOCK, BLOCK // 8), np.uint8)
-    for r in again.mapInArrow(mark, "row int, bits binary").repartition("row").mapInArrow(merge, "row int, bits binary").toLocalIterator():
+    for r in again.mapInArrow(tidied(mark), "row int, bits binary").repartition("row").mapInArrow(tidied(merge), "row int, bits binary").toLocalIterator():
         out[r["row"]] = np.frombuffer(r["bits"], np.uint8)
     return out.reshape(-1), power
 
@@ -155,7 +155,7 @@ def _segments(docs: DataFrame, size: int, shared, bits) -> DataFrame:
                 keep = pa.array(rows)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(keep), batch.column("t").take(keep), *[pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]], [c.split()[0] for c in SEGMENTS.split(", ")])
 
-    return docs.mapInArrow(run, SEGMENTS)
+    return docs.mapInArrow(tidied(run), SEGMENTS)
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -183,7 +183,7 @@ def _words_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["seed", "content", "words", "doc_id", "t", "first", "n"])
 
-    return once.mapInArrow(run, "seed long, content long, words binary, doc_id long, t long, first int, n long")
+    return once.mapInArrow(tidied(run), "seed long, content long, words binary, doc_id long, t long, first int, n long")
 
 
 def earliest(parts: list[tuple], size: int) -> list[tuple]:
@@ -274,7 +274,7 @@ def _indexed(segments: DataFrame, size: int) -> DataFrame:
                 words += len(row[2]) // 8
         yield from flush()
 
-    return segments.repartition("seed").sortWithinPartitions("seed").mapInArrow(run, RESULTS)
+    return segments.repartition("seed").sortWithinPartitions("seed").mapInArrow(tidied(run), RESULTS)
 
 
 def remove_repeats(docs: DataFrame, size: int = 20, keep_text: bool = True) -> DataFrame:
