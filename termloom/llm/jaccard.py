@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import arrow_map, materialise, only
+from termloom.llm.common import arrow_map, materialise, only, tidied
 from termloom.llm.components import components, local_forest
 from termloom.llm.sketch import rarest_first, sketch
 from termloom.llm.wordhash import WordHasher, mix, shingles
@@ -81,7 +81,7 @@ def _described(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             )
             row += size
 
-    return docs.mapInArrow(run, "row long, doc_id long, n long, s1 long, s2 long, g long, prefix array<long>")
+    return docs.mapInArrow(tidied(run), "row long, doc_id long, n long, s1 long, s2 long, g long, prefix array<long>")
 
 
 def _candidates(groups: DataFrame, num: int, den: int) -> DataFrame:
@@ -216,7 +216,7 @@ def similar(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataF
     def batch_of(done: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(x)) for x in zip(*done, strict=True)], ["node", "root", "links", "only"])
 
-    checked = shipped.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(verify, "node long, root long, links long, only boolean")
+    checked = shipped.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidied(verify), "node long, root long, links long, only boolean")
     checked = materialise(checked, "links")
     split = components(checked.where("not only and node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")), "split")
     joined = checked.where("only").select("node", F.col("root").alias("c")).unionByName(split.select(F.col("id").alias("node"), F.col("component").alias("c")))
@@ -225,7 +225,8 @@ def similar(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataF
     labels = materialise(labels, "labels")
     keyed = full.select("doc_id", "n", "s1", "s2").join(labels, ["s1", "s2", "n"])
     keyed = materialise(keyed.select("doc_id", "n", "c", (F.col("links") + F.col("copies") - 1).alias("n_links")), "members")
-    least = keyed.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    # written first: then the join deals both sides out itself and may split a large component
+    least = materialise(keyed.groupBy("c").agg(F.min("doc_id").alias("component_id")), "least")
     out = keyed.join(least, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
     empty = rows.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(empty)
