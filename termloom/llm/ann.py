@@ -203,8 +203,13 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, ratio: float = RAT
                     if matrix is None:
                         matrix, names = np.array(vs), np.array(ids)
                     d = np.sqrt(((matrix - x[i]) ** 2).sum(axis=1))
-                    best = np.lexsort((names, d))[: 2 * k + 1]
-                    out += [(own, int(names[j]), float(d[j])) for j in best if names[j] != own]
+                    near: dict[int, float] = {}
+                    for j in np.lexsort((names, d)):
+                        if names[j] != own:
+                            near.setdefault(int(names[j]), float(d[j]))
+                            if len(near) == k:
+                                break
+                    out += [(own, j, far) for j, far in near.items()]
             if len(out) > 20_000:
                 yield rows_of(out)
                 out = []
