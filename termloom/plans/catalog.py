@@ -66,10 +66,11 @@ TOKENS = r"""w AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(text,
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
     docs = _read(spark, d, "documents").where(F.col("lang").isin("es", "fr"))
-    ws = docs.select("doc_id", "lang", F.slice(F.filter(F.split("text", r"[ \n\t\r]+"), lambda x: x != ""), 1, 24).alias("ws"))
-    rows = ws.select("doc_id", "lang", "ws", F.posexplode("ws").alias("p", "w")).where(F.col("p") < F.size("ws") - 1)
+    ws = docs.select("doc_id", "lang", F.filter(F.split("text", r"[ \n\t\r]+"), lambda x: x != "").alias("ws"))
+    n = F.greatest(F.size("ws") - 1, F.lit(0))
+    rows = ws.select("doc_id", "lang", F.posexplode(F.arrays_zip(F.slice("ws", 1, n).alias("w"), F.slice("ws", 2, n).alias("next"))).alias("p", "pair"))
     bare = lambda c: F.regexp_replace(c, "^[.,;:!?]+|[.,;:!?]+$", "")
-    return rows.select("doc_id", "lang", (F.col("p") + 1).cast("long").alias("i"), bare(F.col("w")).alias("base"), bare(F.get("ws", F.col("p") + 1)).alias("span"))
+    return rows.select("doc_id", "lang", (F.col("p") + 1).cast("long").alias("i"), bare(F.col("pair.w")).alias("base"), bare(F.col("pair.next")).alias("span"))
 
 
 @query(f"WITH {PAIRS} SELECT * FROM pairs")
@@ -263,7 +264,8 @@ def complement_metric(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def form_check(spark: SparkSession, d: str) -> DataFrame:
-    return _tokens(spark, d).select("lang", F.coalesce(morph.check_form(F.col("base"), F.col("span"), F.col("lang")), F.lit("ok")).alias("code")).groupBy("lang", "code").agg(F.count(F.lit(1)).alias("n"))
+    pairs = _tokens(spark, d).groupBy("lang", "base", "span").agg(F.count(F.lit(1)).alias("n"))  # each form is checked once
+    return pairs.select("lang", F.coalesce(morph.check_form(F.col("base"), F.col("span"), F.col("lang")), F.lit("ok")).alias("code"), "n").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
 @query("""WITH r AS (SELECT source AS file, lang AS span, CAST(n_chars % 3 AS VARCHAR) AS other, doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN lang || 'a' ELSE lang || 'b' END AS base FROM documents), f AS (SELECT *, coalesce(nullif(base, ''), span) AS form FROM r), v AS (SELECT file, other, span, form, count(*) AS n, min(doc_id) AS first FROM f GROUP BY 1, 2, 3, 4), w AS (SELECT file, other, span, arg_max(form, row(n, CAST(form = span AS INT), -first)) AS won FROM v GROUP BY 1, 2, 3) SELECT doc_id, won AS term_tgt_dict FROM f JOIN w USING (file, other, span)""")
