@@ -7,6 +7,12 @@ rules.  A document is kept if it passes the base rules and the Jensen-Shannon
 distance of each histogram from its language's reference is at most a limit; a
 histogram of fewer characters or words than a guard has no say.
 
+The limit of the words is the language's own, never above `word_limit`: what
+counting n words alone brings, with a margin, and the spread of its steady
+documents beyond that; and it stays below the distance at which a text without
+any common word stands.  Words have a say only where the reference lets expect
+some common ones; languages without a list have no limit of their own.
+
 Everything is made of DataFrame functions; no text is shuffled, and a
 document's windows are compared inside its own row.
 
@@ -19,6 +25,8 @@ empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +47,8 @@ COMMON = {
 CLASSES = ("white", "upper", "digit", "symbol", "mark", "wide", "other")
 #: Least characters and words for the histograms to count, and the largest distances (0 to 1) of kept documents.
 GUARD_CHARS, GUARD_WORDS, CHAR_LIMIT, WORD_LIMIT = 200, 80, 0.30, 0.60
+#: Common words that must be expected; deviations of counting and of the language's documents that are allowed; share of the distance of a text without common words.
+GUARD_COMMON, COUNTING, SPREAD, SHORT_OF = 10, 4.0, 3.0, 0.9
 
 
 def words_of(text: Column) -> Column:
@@ -112,5 +122,16 @@ def quality(docs: DataFrame, char_limit: float = CHAR_LIMIT, word_limit: float =
     rows = rows.join(reference, "lang", "left")
     far = lambda own, n, least, limit: F.when((F.col(n) >= least) & F.col(f"{own}_ref").isNotNull(), distance(F.col(own), F.col(f"{own}_ref")))
     rows = rows.withColumns({"char_distance": far("p", "chars", GUARD_CHARS, char_limit), "word_distance": far("q", "n_words", GUARD_WORDS, word_limit)})
-    near = (F.coalesce("char_distance", F.lit(0.0)) <= char_limit) & (F.coalesce("word_distance", F.lit(0.0)) <= word_limit)
+    # the squared distance of n words drawn from a reference of k bars is about chi-squared / (8 n ln 2), with k - 1 degrees of freedom
+    free = F.size("q_ref") - 1
+    unit = 1 / (8 * math.log(2) * F.col("n_words"))
+    beyond = F.sqrt(F.greatest(F.lit(0.0), F.pow("word_distance", F.lit(2.0)) - free * unit))
+    part = lambda at: F.percentile_approx("beyond", F.lit(at), F.lit(1000))
+    spread = rows.where(~F.col("base_failed") & (F.col("chars") >= GUARD_CHARS)).select("lang", beyond.alias("beyond")).groupBy("lang").agg((part(0.5) + SPREAD * (part(0.75) - part(0.25)) / 1.349).alias("spread"))
+    rows = rows.join(spread, "lang", "left")
+    counted = F.sqrt(F.pow("spread", F.lit(2.0)) + (free + COUNTING * F.sqrt(2 * free)) * unit)
+    bare = F.transform("q_ref", lambda _, i: F.when(i == F.size("q_ref") - 1, 1.0).otherwise(0.0))
+    expected = F.col("n_words") * (1 - F.element_at("q_ref", -1))
+    own_limit = F.when(expected >= GUARD_COMMON, F.least(counted, SHORT_OF * distance(bare, F.col("q_ref"))))
+    near = (F.coalesce("char_distance", F.lit(0.0)) <= char_limit) & (F.coalesce("word_distance", F.lit(0.0)) <= F.least(F.lit(word_limit), own_limit))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & near).alias("kept"), "char_distance", "word_distance")

@@ -39,6 +39,22 @@ def test_strange_texts_fail_and_plain_ones_stay(spark):
     assert all(kept[i] for i in range(60)) and not any(kept[60 + i] for i in range(3))
 
 
+def test_texts_without_the_common_words_of_their_language_fail(spark):
+    import random
+
+    from termloom.llm.quality import COMMON
+
+    rng = random.Random(5)
+    other = lambda: "".join(rng.choice("abcdefghilmnorstu") for _ in range(6))
+    text = lambda lang, n, share: " ".join(rng.choice(COMMON[lang]) if rng.random() < share else other() for _ in range(n)) + "."
+    rows = [(text(lang, n, 0.2), lang, True) for lang in ("en", "fr") for n in (90, 120, 200, 400, 900) for _ in range(20)]
+    rows += [(text("en", n, 0.0), lang, False) for lang in ("en", "fr") for n in (90, 200, 900)]  # gibberish with usual characters
+    rows += [(text("de", n, 0.2), "en", False) for n in (300, 900)]  # a wrong label
+    d = spark.createDataFrame([(i, t, lang) for i, (t, lang, _) in enumerate(rows)], "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in quality(d).collect()}
+    assert [i for i, (_, _, want) in enumerate(rows) if kept[i] != want] == []
+
+
 def test_distance(spark):
     from pyspark.sql import functions as F
 
