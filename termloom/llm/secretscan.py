@@ -5,12 +5,14 @@ of 20 or more token characters that no base span touches: it infers the run's
 encoding (hexadecimal, base 32, base 36, base 64 in either alphabet), and asks
 whether its symbols look drawn at random, by a chi-squared test of uniformity
 over the alphabet, a runs test about the median and a test of serial
-correlation, joined by Fisher's method into one probability p.  Random strings
+correlation, joined by Fisher's method into one probability p; a run without
+any digit, as words are, or of digits only has at most the probability of that.  Random strings
 have p uniform on 0 to 1, words have p near 0.  How well the tests tell the two
 apart depends on the length, so false discoveries are controlled apart for
 each encoding and length class: from the number of runs with p over one half
 follows how many random strings there are; the threshold t is the least at
 which, of the runs with p >= t, a share of at most `fdr` must be something else.
+Classes with too few such runs for an estimate of their own are pooled.
 The histogram of p covers all documents and has a fixed size.
 
 Defined results: a null text counts as empty and has no spans; rows are judged
@@ -57,6 +59,8 @@ ALPHABETS = {
 VALUES = {name: {c: i for i, c in enumerate(a)} for name, a in ALPHABETS.items()}
 #: Equal shares of an alphabet that the test of uniformity counts; histogram bars of p.
 SHARES, BARS = 8, 100
+#: Classes with fewer runs of p over one half are pooled.
+FEW = 20
 
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, base array<struct<kind:string,start:int,end:int>>, tested array<struct<start:int,end:int,class:string,p:double>>"
 
@@ -107,7 +111,13 @@ def randomness(run: str) -> tuple[str, float]:
         tests.append(math.erfc(abs(r + 1 / n) * math.sqrt(n / 2)))
     else:
         tests.append(1e-12)
-    return encoding, chi_squared_tail(-2 * sum(math.log(max(t, 1e-12)) for t in tests), 2 * len(tests))
+    p = chi_squared_tail(-2 * sum(math.log(max(t, 1e-12)) for t in tests), 2 * len(tests))
+    digits = sum(c.isdigit() for c in ALPHABETS[encoding]) / size
+    if not any(c.isdigit() for c in run):  # words
+        p = min(p, (1 - digits) ** n)
+    elif all(c.isdigit() for c in run.rstrip("=")):  # numbers
+        p = min(p, digits**n)
+    return encoding, p
 
 
 def length_class(n: int) -> int:
@@ -155,10 +165,16 @@ def _scanned(docs: DataFrame) -> DataFrame:
 
 
 def thresholds(bars: dict[str, Counter], fdr: float) -> dict[str, float]:
-    """For each class the least t at which the share of others among p >= t is at most fdr; absent if there is none."""
+    """For each class the least t at which the share of others among p >= t is at most fdr; absent if there is none.
+
+    Classes with few runs above one half are counted together and share t.
+    """
     out = {}
-    for name, counts in bars.items():
-        random = 2.0 * max(0, sum(n for bar, n in counts.items() if bar >= BARS // 2) - 1)
+    above = lambda counts: sum(n for bar, n in counts.items() if bar >= BARS // 2)
+    pool = sum((c for c in bars.values() if above(c) < FEW), Counter())
+    for name, own in bars.items():
+        counts = own if above(own) >= FEW else pool
+        random = 2.0 * above(counts)
         found = 0
         for bar in range(BARS - 1, 0, -1):
             found += counts[bar]

@@ -33,6 +33,25 @@ def test_random_strings_are_found_and_words_are_left(spark):
     assert not any(got[1000 + i] for i in range(300))
 
 
+def test_a_few_secrets_in_each_class_are_found():
+    rng = random.Random(12)
+    kinds = [(name, n) for name in ("HEX", "base32", "base64", "BASE36") for n in (22, 28, 40, 56)]
+    for each in range(1, 6):
+        found = planted = 0
+        for _ in range(20):
+            runs = [s.randomness("".join(rng.choice(s.ALPHABETS[name]) for _ in range(n))) + (n,) for name, n in kinds for _ in range(each)]
+            bars = {}
+            for encoding, p, n in runs:
+                bars.setdefault(f"{encoding}:{s.length_class(n)}", s.Counter())[min(s.BARS - 1, int(p * s.BARS))] += 1
+            limits = s.thresholds(bars, 0.05)
+            planted += len(runs)
+            found += sum(p >= limits.get(f"{encoding}:{s.length_class(n)}", 2) for encoding, p, n in runs)
+        assert found > 0.8 * planted, (each, found, planted)
+    assert s.thresholds({"hex:32": s.Counter({70: 1})}, 0.05)["hex:32"] <= 0.7
+    assert s.thresholds({"base36:20": s.Counter({0: 500, 1: 40, 2: 10})}, 0.05) == {}
+    assert s.randomness("eauaitionouierelleaux")[1] < 0.01 and s.randomness("9" + "".join(rng.choice(s.DIGITS) for _ in range(30)))[1] < 0.01
+
+
 def test_p_is_uniform_for_random_strings():
     rng = random.Random(9)
     ps = [s.randomness("".join(rng.choice(s.ALPHABETS["hex"]) for _ in range(40)))[1] for _ in range(1500)]
