@@ -1,8 +1,10 @@
 """Operator 2: secrets in whole texts.
 
 Base spans come from three patterns.  Beside them the operator tests every run
-of 20 or more token characters that no base span touches: it infers the run's
-encoding (hexadecimal, base 32, base 36, base 64 in either alphabet), and asks
+of 20 or more token characters outside base spans, where "=" belongs to a run
+as padding at its end only and else separates; of a run that fits no encoding,
+or doesn't look random as a whole, it tests the parts between "+", "/", "_" and
+"-" instead.  It infers the run's encoding (hexadecimal, base 32, base 36, base 64 in either alphabet), and asks
 whether its symbols look drawn at random, by a chi-squared test of uniformity
 over the alphabet, a runs test about the median and a test of serial
 correlation, joined by Fisher's method into one probability p; a run without
@@ -45,6 +47,9 @@ KEYWORDS = ("password", "passwd", "secret", "token", "api")
 #: Least length of a tested run, and where the length classes begin.
 SHORTEST, LENGTHS = 20, (20, 24, 32, 48, 64)
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
+#: A tested run ends with padding or holds none; below so small a p its parts are tested instead.
+PADDED = re.compile(r"[A-Za-z0-9+/_-]+(?:=+(?![A-Za-z0-9+/_=-]))?")
+PART, PARTED = re.compile(r"[A-Za-z0-9]+(?:=+)?"), 0.05
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: From the narrowest to the widest; a run has the first that holds all its symbols.
 ALPHABETS = {
@@ -136,13 +141,34 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, st
             base += [(kind, x.start(), x.end()) for x in pattern.finditer(text, *m.span()) if x.end() - x.start() >= LEAST[kind]]
     base.sort(key=lambda s: (s[1], KINDS.index(s[0])))
     for m in runs:
-        if not any(s[1] < m.end() and m.start() < s[2] for s in base):
-            encoding, p = randomness(m[0])
-            if p > 0.001:  # less can't reach any threshold
-                tested.append((*m.span(), f"{encoding}:{length_class(m.end() - m.start())}", p))
+        for a, b in outside(m.start(), m.end(), base):
+            for x in PADDED.finditer(text, a, b):
+                if x.end() - x.start() >= SHORTEST:
+                    tested += tests_of(text, *x.span())
     return base, tested
 
 
+def outside(start: int, end: int, base: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """The stretches of start to end that no base span covers; base is in order of starts."""
+    out = []
+    for _, a, b in base:
+        if a < end and start < b:
+            if a > start:
+                out.append((start, a))
+            start = max(start, b)
+    return [*out, (start, end)] if start < end else out
+
+
+def tests_of(text: str, start: int, end: int) -> list[tuple[int, int, str, float]]:
+    """The test of a run as a whole, or those of its long parts if it doesn't look random; p that can't reach any threshold is left out."""
+    encoding, p = randomness(text[start:end])
+    spans = [(start, end, encoding, p)]
+    if p < PARTED:
+        parts = [x.span() for x in PART.finditer(text, start, end) if x.end() - x.start() >= SHORTEST]
+        spans = [(a, b, *randomness(text[a:b])) for a, b in parts] or spans
+    return [(a, b, f"{e}:{length_class(b - a)}", p) for a, b, e, p in spans if p > 0.001]
+
+
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 

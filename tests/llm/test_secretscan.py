@@ -52,6 +52,22 @@ def test_a_few_secrets_in_each_class_are_found():
     assert s.randomness("eauaitionouierelleaux")[1] < 0.01 and s.randomness("9" + "".join(rng.choice(s.DIGITS) for _ in range(30)))[1] < 0.01
 
 
+def test_parts_of_a_run_are_tested_on_their_own():
+    rng = random.Random(21)
+    secret = lambda n=40: "".join(rng.choice(s.ALPHABETS["base64"][:62]) for _ in range(n))
+    forms = ["AWS_SECRET_ACCESS_KEY={}", "auth={}", "session_id={}", "x={}==", "a={}&b=c", "/home/user/projects/production/settings/{}", "mixed_name/and-path/{}", "token=abcdef {}", "{}=token=abcdefgh", "deadbeefdeadbeefdeadbeefdead-{}"]
+    for form in forms:
+        hits = 0
+        for _ in range(40):
+            value = secret()
+            text = "see " + form.format(value) + " end"
+            base, tested = s.scan(text)
+            at = text.index(value)
+            hits += any(a <= at and at + 40 <= b <= at + 42 and b - a <= 60 for a, b, _, p in tested if p > 0.05)
+            assert all(not (x[1] < b and a < x[2]) for a, b, _, _ in tested for x in base)
+        assert hits >= 30, (form, hits)
+
+
 def test_p_is_uniform_for_random_strings():
     rng = random.Random(9)
     ps = [s.randomness("".join(rng.choice(s.ALPHABETS["hex"]) for _ in range(40)))[1] for _ in range(1500)]
