@@ -7,8 +7,9 @@ advert or comment.  If the page marks its article (article, main, role=main),
 that is what remains.  On all pages every other subtree outside the marked
 article gets a hash of its tags and text, Spark counts for each host on how
 many of its pages a hash occurs, and subtrees that occur on at least `share` of
-a host's pages, and on at least `least` of them, are templates: they are deleted
-from the pages that mark no article.  An article that
+a host's pages, and on at least `least` of them, or on `many` of them whatever
+the share, are templates: they are deleted from the pages that mark no article.
+Pages of one host with the same content count as one page.  An article that
 the page itself marks is never taken for a template, so copies of an article
 on one host keep their text.
 
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 
 from termloom.llm.common import arrow_map, materialise
 
-#: A template stands on so many pages of a host, and on such a share of them.
-LEAST_PAGES, SHARE = 10, 0.2
+#: A template stands on so many pages of a host, and on such a share of them, or on many.
+LEAST_PAGES, SHARE, MANY_PAGES = 10, 0.2, 500
 
 # HTML elements by how they take part.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -195,27 +196,31 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def main_text(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE) -> DataFrame:
+def main_text(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE, many: int = MANY_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
 
     def make_first():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            done, hashes, kept = [], [], []
+            done, hashes, kept, contents = [], [], [], []
             for html in batch.column("html").to_pylist():
                 root = parsed(html or "")
                 tops, marked = content(root)
                 done.append(text_of(tops, marked, set()))
                 hashes.append([int.from_bytes(h, "little", signed=True) for h in subtree_hashes(root)])
+                same = blake2b(done[-1].encode("utf-8", "surrogatepass"), digest_size=8)
+                same.update(b"".join(h.to_bytes(8, "little", signed=True) for h in hashes[-1]))
+                contents.append(int.from_bytes(same.digest(), "little", signed=True))
                 kept.append(html if hashes[-1] and not marked else None)  # where templates may yet go
-            return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(done, pa.string()), pa.array(kept, pa.string()), pa.array(hashes, pa.list_(pa.int64()))], ["page_id", "url", "host", "text", "html", "hashes"])
+            return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(done, pa.string()), pa.array(kept, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(contents, pa.int64())], ["page_id", "url", "host", "text", "html", "hashes", "content"])
 
         return each
 
-    rows = materialise(arrow_map(keyed, make_first, "page_id long, url string, host string, text string, html string, hashes array<long>"), "pages")
-    of_hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = rows.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    recurring = counts.join(of_hosts, "host").where(F.col("n") >= share * F.col("pages")).select("host", "hash")
+    rows = materialise(arrow_map(keyed, make_first, "page_id long, url string, host string, text string, html string, hashes array<long>, content long"), "pages")
+    apart = rows.select("host", "content", "hashes").dropDuplicates(["host", "content"])  # copies of a page count once
+    of_hosts = rows.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    counts = apart.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    recurring = counts.join(of_hosts, "host").where((F.col("n") >= share * F.col("pages")) | (F.col("n") >= many)).select("host", "hash")
     open_pages = rows.where(F.col("html").isNotNull()).withColumn("row", F.monotonically_increasing_id())
     open_pages = materialise(open_pages, "open-pages")  # the row numbers must not change when a task runs again
     marks = open_pages.select("row", "host", F.explode("hashes").alias("hash")).join(recurring, ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("templates"))

@@ -29,3 +29,15 @@ def test_templates_of_a_host_go_and_articles_stay(spark):
     assert all(text[200 + i] == "the same article" for i in range(40)) and text[300] == text[301] == ""
     assert all(r.n_chars == len(r.text) for r in got)
     assert main_text(d.limit(0)).count() == 0
+
+
+def test_copies_of_a_page_count_once_and_large_hosts_lose_templates(spark):
+    page = "<body><div>{}</div><div><p>story {}</p></div></body>"
+    rows = [(i, f"http://copies.example/{i}", page.format("head", "one")) for i in range(12)]
+    rows += [(100 + i, f"http://mixed.example/{i}", page.format(f"head {max(i, 11)}", max(i, 11))) for i in range(50)]
+    rows += [(1000 + i, f"http://large.example/{i}", page.format("menu" if i < 45 else f"own {i}", i)) for i in range(300)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in main_text(d, many=40).collect()}
+    assert all(text[i] == "head story one" for i in range(12))
+    assert all(text[100 + i] == f"head {max(i, 11)} story {max(i, 11)}" for i in range(50))
+    assert all(text[1000 + i] == (f"story {i}" if i < 45 else f"own {i} story {i}") for i in range(300))
