@@ -85,7 +85,7 @@ def usable_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"""WITH t AS (SELECT lang, CASE WHEN doc_id % 3 = 0 THEN repeat('汉字', CAST(doc_id % 7 AS INT)) || substr(text, 1, 20) ELSE text END AS s FROM documents), r AS (SELECT lang, CASE WHEN length(regexp_replace(s, '[ \t\n\r]', '', 'g')) > 0 THEN length(regexp_replace(s, '[^一-鿿]', '', 'g')) / length(regexp_replace(s, '[ \t\n\r]', '', 'g')) ELSE 0 END AS ratio FROM t) SELECT lang, count(*) AS n, count(*) FILTER (ratio > 0.3) AS n_chinese, round(sum(ratio), 6) AS total FROM r GROUP BY lang""")
 def cjk_ratio_stats(spark: SparkSession, d: str) -> DataFrame:
-    own = F.when(F.col("doc_id") % 3 == 0, F.concat(F.repeat(F.lit("汉字"), (F.col("doc_id") % 7).cast("int")), F.substring("text", 1, 20))).otherwise(F.col("text"))
+    own = F.when(F.col("doc_id") % 3 == 0, F.concat(F.repeat(F.lit("汉字"), (F.col("doc_id") % 7).cast("int")), F.col("text"))).otherwise(F.col("text"))
     rows = _read(spark, d, "documents").select("lang", text.cjk_ratio(own).alias("ratio"))
     return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ratio") > names.CHINESE).alias("n_chinese"), F.round(F.sum("ratio"), 6).alias("total"))
 
@@ -278,10 +278,9 @@ def majority_vote(spark: SparkSession, d: str) -> DataFrame:
 
 @query(r"""WITH t AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '“' || substr(text, 1, 12) || '”' WHEN 1 THEN 'l’' || substr(text, 1, 12) WHEN 2 THEN '"' || substr(text, 1, 5) || '"' || substr(text, 6, 4) || '"' ELSE substr(text, 1, 12) END AS s FROM documents WHERE regexp_matches(substr(text, 1, 12), '^[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ .]*[a-zà-ÿ.]\z') AND length(text) > 12) SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN substr(s, 2, 12) WHEN 1 THEN 'l''' || substr(s, 3) ELSE s END AS delivered FROM t""")
 def delivery_norm(spark: SparkSession, d: str) -> DataFrame:
-    m, head = F.col("doc_id") % 4, F.substring("text", 1, 12)
-    made = F.when(m == 0, F.concat(F.lit("“"), head, F.lit("”"))).when(m == 1, F.concat(F.lit("l’"), head)).when(m == 2, F.concat(F.lit('"'), F.substring("text", 1, 5), F.lit('"'), F.substring("text", 6, 4), F.lit('"'))).otherwise(head)
-    rows = _read(spark, d, "documents").where(head.rlike(r"^[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ .]*[a-zà-ÿ.]\z") & (F.length("text") > 12))
-    return rows.select("doc_id", text.normalize_delivery(made).alias("delivered"))
+    m, whole = F.col("doc_id") % 4, F.col("text")
+    made = F.when(m == 0, F.concat(F.lit("“"), whole, F.lit("”"))).when(m == 1, F.concat(F.lit("l’"), whole)).when(m == 2, F.concat(F.lit('"'), F.substring("text", 1, 5), F.lit('"'), whole.substr(F.lit(6), F.length("text")), F.lit('"'))).otherwise(whole)
+    return _read(spark, d, "documents").select("doc_id", text.normalize_delivery(made).alias("delivered"))
 
 
 @query("SELECT doc_id AS file, CAST(0 AS INT) AS batch_idx, CASE WHEN quality + doc_id % 2 > quality + toxic OR (quality + doc_id % 2 = quality + toxic AND toxic < doc_id % 3) THEN 'correction' ELSE 'first' END AS kind FROM labels")

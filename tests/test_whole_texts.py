@@ -39,3 +39,18 @@ def test_form_codes_of_whole_texts(spark, folder):
     for r in catalog.queries()["form_check"](spark, folder).collect():
         n[r["lang"]] = n.get(r["lang"], 0) + r["n"]
     assert n == dict.fromkeys(("es", "fr"), sum(max(0, x - 1) for x in (0, 1, 2, 24, 25, 26, 90, 700)))
+
+
+def test_delivery_and_ratios_of_whole_texts(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    got = {r.doc_id: r.delivered for r in catalog.queries()["delivery_norm"](spark, folder).collect()}
+    made = lambda i, t: (t, f"l'{t}", f'"{t[:5]}"{t[5:]}"', t)[i % 4]
+    assert {i: t for i, t in got.items() if len(t) > 20} == {r.doc_id: made(r.doc_id, r.text) for r in docs if len(r.text) > 17}
+    assert len(got) == len(docs)
+    total = dict.fromkeys(("es", "fr", "en"), 0.0)
+    for r in docs:
+        s = "汉字" * (r.doc_id % 7) + r.text if r.doc_id % 3 == 0 else r.text
+        bare = "".join(s.split())
+        total[r.lang] += sum("一" <= c <= "\u9fff" for c in bare) / len(bare) if bare else 0
+    for r in catalog.queries()["cjk_ratio_stats"](spark, folder).collect():
+        assert r.n == 8 and abs(r.total - total[r.lang]) < 1e-5
