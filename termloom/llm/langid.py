@@ -13,7 +13,8 @@ and rejected; equal scores go to the language that sorts first; rows without a
 language are predicted but never learned from; without any labelled row every
 text is `und`; an empty table gives an empty result; repeated rows stay
 repeated; further columns are ignored.  A null doc_id counts as not held out and
-is not learned from.
+is not learned from.  A very long text is summed piece by piece and gets the
+scores that it has as a whole.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.llm.codepoints import lower_letters
@@ -30,9 +31,13 @@ from termloom.llm.common import arrow_map, only
 
 #: Bound of the labelled sample, over all languages together.
 SAMPLE = 4000
-#: Most languages that are learned: the most frequent ones.
-LANGUAGES = 64
+#: Rows of a language that are sampled at least, as far as it has so many; the bound grows by them with the labels.
+LEAST_ROWS = 20
 BUCKETS, WIDTH, EPOCHS, RATE = 1 << 17, 12, 4, 0.4
+#: Updates of a training at least: few rows are gone through more often.
+LEAST_STEPS = 12_000
+#: Code points that a subword reaches beyond its first.
+REACH = 3
 #: Every CALIBRATE-th sampled row calibrates and doesn't train.
 CALIBRATE = 5
 #: Share of right predictions on the calibration rows that may be rejected, and the score that is never rejected.
@@ -100,10 +105,8 @@ class Model:
         return out
 
     def _scores(self, texts: list[str], letters: np.ndarray) -> np.ndarray:
-        if len(texts) == 1 and len(texts[0]) > 4 * CHUNK:
-            t = texts[0]  # sums of pieces; the few subwords across a cut are left to neither piece
-            sums = [self._sums([t[a : a + CHUNK]], letters) for a in range(0, len(t), CHUNK)]
-            total, n = sum(s for s, _ in sums), sum(n for _, n in sums)
+        if len(texts) == 1 and len(texts[0]) > CHUNK:
+            total, n = self._long(texts[0], letters)
         else:
             total, n = self._sums(texts, letters)
         z = total / np.maximum(n, 1)[:, None] + self.bias
@@ -112,6 +115,15 @@ class Model:
         p[n == 0] = 0
         return p
 
+    def _long(self, text: str, letters: np.ndarray, size: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
+        """The sums of one text, piece by piece: each reaches REACH signs into the next, and what starts there is taken off again."""
+        total, n = self._sums([text[: size + REACH]], letters)
+        for a in range(size, len(text), size):
+            more, m = self._sums([text[a : a + size + REACH]], letters)
+            over, k = self._sums([text[a : a + REACH]], letters)
+            total, n = total + more - over, n + m - k
+        return total, n
+
     def _sums(self, texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         buckets, at = grams(texts, letters)
         n = np.diff(at)
@@ -137,8 +149,11 @@ def train(texts: list[str], labels: list[str], letters: np.ndarray, seed: int =
     embed = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)
     soft, bias = np.zeros((WIDTH, len(languages)), np.float32), np.zeros(len(languages), np.float32)
     soft += rng.normal(0, 0.1, soft.shape)
-    steps, step = EPOCHS * len(front), 0
-    for _ in range(EPOCHS):
+    if not front:
+        return Model(languages, np.zeros((BUCKETS, len(languages)), np.float32), np.zeros(len(languages)), 0.0)
+    epochs = max(EPOCHS, LEAST_STEPS // len(front))
+    steps, step = epochs * len(front), 0
+    for _ in range(epochs):
         for i in rng.permutation(front):
             rate = RATE * (1 - step / steps)
             step += 1
@@ -154,6 +169,9 @@ def train(texts: list[str], labels: list[str], letters: np.ndarray, seed: int =
             bias -= rate * p
             embed[buckets] -= (rate * len(buckets) ** 0.5) * np.outer(weight, back_hidden)
     table = embed @ soft
+    met = np.zeros(BUCKETS, bool)
+    met[np.concatenate([rows[i][0] for i in front])] = True
+    table[~met] = 0  # what no training text holds says nothing: a text of such subwords is left to chance, and rejected
     z = np.array([(c / c.sum()) @ table[b] + bias for b, c in (rows[i] for i in back)])
     want = y[back]
 
@@ -173,17 +191,19 @@ def train(texts: list[str], labels: list[str], letters: np.ndarray, seed: int =
 def fit(docs: DataFrame, sample: int = SAMPLE, letters: np.ndarray | None = None) -> Model | None:
     """Train on at most about `sample` labelled rows that aren't held out, an equal share for each language.
 
-    Which rows is decided by a hash of doc_id, so it doesn't depend on their
-    order.  The sample is the only part of the corpus that reaches the driver.
+    Every label that occurs is learned, from LEAST_ROWS rows at least if it has
+    them.  Which rows is decided by a hash of doc_id, so it doesn't depend on
+    their order.  The sample is the only part of the corpus that reaches the driver.
     """
     known = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return None
-    share = sample / len(counts)
-    place = (F.xxhash64(F.lit("language sample"), "doc_id") % 1_000_000 + 1_000_000) % 1_000_000
-    limit = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int(min(1.0, share / r["count"]) * 1_000_000))])
-    rows = known.where(place < F.coalesce(limit[F.col("lang")], F.lit(0))).limit(2 * sample).toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    counts = known.groupBy("lang").count()
+    # labels are names of languages, so a row for each is little; every one of them is learned
+    each = max(sample // max(1, counts.count()), LEAST_ROWS)
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("language sample"), "doc_id"), 1).cast("double") / float(1 << 63)
+    # twice the share, so that chance leaves no rare language short; then the first of each by hash
+    near = known.join(F.broadcast(counts), "lang").where(place * F.col("count") < 2 * each + LEAST_ROWS)
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id", "text"))
+    rows = near.withColumn("first", first).where(F.col("first") <= each).select("doc_id", "text", "lang").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     if not rows.num_rows:
         return None
     letters = lower_letters() if letters is None else letters
@@ -194,7 +214,7 @@ SCHEMA = "lang_pred string, score double, rejected boolean"
 
 
 def _predict(df: DataFrame, model: Model | None, letters: np.ndarray, make_columns, schema) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast((model and (model.languages, model.table, model.bias, model.reject_below), letters))  # fixed size: code points, and BUCKETS x LANGUAGES at most
+    shared = df.sparkSession.sparkContext.broadcast((model and (model.languages, model.table, model.bias, model.reject_below), letters))  # fixed size for the labels there are: code points, and BUCKETS scores a language
 
     def make():
         fields, letters = shared.value
