@@ -10,11 +10,14 @@ text beyond a chunk is cut at separators.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20
+#: Bytes taken at once, and length in bytes from which a word gets a digest.
+LANE, LONG = 8, 128
 _R = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.array([0xD6E8FEB86659FD93, 0xA5CB9243F3A6E2AB, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype=np.uint64)
 
@@ -31,30 +34,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 class WordHasher:
     def __init__(self, lower: bool = False) -> None:
-        byte = np.arange(256, dtype=np.uint64)
-        if lower:
-            byte[65:91] += np.uint64(32)
-        self.value = mix(byte * np.uint64(0x632BE59BD9B4E019) + np.uint64(0x9E37))
+        self.table = bytes(b + 32 if lower and 65 <= b <= 90 else b for b in range(256))
         self.is_word = np.ones(256, dtype=bool)
         self.is_word[[32, 9, 10, 11, 12, 13]] = False
-        self._powers(CHUNK)
-
-    def _powers(self, n: int) -> None:
-        with np.errstate(over="ignore"):
-            step = np.full(n, _R, dtype=np.uint64)
-            step[0] = 1
-            self.power = np.cumprod(step, dtype=np.uint64)
-            inverse = np.uint64(pow(int(_R), -1, 1 << 64))
-            step[1:] = inverse
-            self.inverse = np.cumprod(step, dtype=np.uint64)
 
     def _piece(self, data: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes, starts and ends of the words in data; a word also starts at each of firsts."""
         n = len(data)
         if n == 0:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if n > len(self.power):
-            self._powers(n)
         word = self.is_word[data]
         before = np.empty(n, dtype=bool)
         before[0] = False
@@ -68,12 +56,27 @@ class WordHasher:
         cut = firsts[firsts > 0] - 1
         after[cut] = False
         ends = np.flatnonzero(word & ~after) + 1
+        return self._hashes(data, starts, ends), starts, ends
+
+    def _hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Each word's hash: eight bytes after eight go through a bijection; words of many bytes have a digest of their own."""
+        padded = data.tobytes().translate(self.table) + bytes(LANE)
+        lanes = np.ndarray((len(data) + 1,), np.uint64, padded, strides=(1,))  # the eight bytes from each place on
+        left = ends - starts
+        hashes = mix(left.astype(np.uint64) + _R)
+        rows = np.flatnonzero(left <= LONG)
+        at, left = starts[rows], left[rows]
         with np.errstate(over="ignore"):
-            total = np.empty(n + 1, dtype=np.uint64)
-            total[0] = 0
-            np.cumsum(self.value[data] * self.power[:n], dtype=np.uint64, out=total[1:])
-            hashes = mix((total[ends] - total[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
-        return hashes, starts, ends
+            while len(rows):
+                lane = lanes[at]
+                last = left < LANE
+                lane[last] &= (np.uint64(1) << (left[last].astype(np.uint64) << np.uint64(3))) - np.uint64(1)
+                hashes[rows] = mix(hashes[rows] * _R + lane)
+                more = left > LANE
+                rows, at, left = rows[more], at[more] + LANE, left[more] - LANE
+        for i in np.flatnonzero(ends - starts > LONG).tolist():
+            hashes[i] = int.from_bytes(blake2b(padded[starts[i] : ends[i]], digest_size=8).digest(), "little")
+        return hashes
 
     def texts(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """(row, hashes of its words) for each row in order; null counts as empty."""
