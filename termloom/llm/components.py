@@ -45,22 +45,29 @@ def local_forest(links: DataFrame) -> DataFrame:
     return links.mapInArrow(tidied(run), "a long, b long")
 
 
+def _with(links: DataFrame, low: DataFrame) -> DataFrame:
+    """links with the m of their a; by the complement of a, as rows already grouped by a would all stay in its one task."""
+    key = lambda df: df.withColumn("_key", F.bitwise_not("a"))
+    return key(links).join(key(low).drop("a"), "_key").drop("_key")
+
+
 def components(links: DataFrame, name: str) -> DataFrame:
     """(id, component) for every id in links (a, b); the component is its smallest id.
 
     Every round's links are written to the shared folder, so lost executors cost
     no more than a round.  Minima are aggregated before the shuffle and joined
-    back, so an id with very many links is no single task's work.
+    back on a key that both sides are dealt out by anew, so the links of an id
+    that has very many may be split over tasks.
     """
     links = materialise(local_forest(links).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-links")
     mark = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = _with(both.where("b > a"), low).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = local_forest(large).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
+        small = _with(large, low).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
         links = materialise(small.distinct(), f"{name}-links")
         now = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.countDistinct("a")).first()
         if now[0] == now[2] and now == mark:

@@ -9,14 +9,19 @@ within the first n - ceil(t n) + 1 of each.
 
 1. Equal sets become one node, and nodes with the same prefix and size one group.
 2. Groups that share a prefix shingle are paired under the size and position
-   filters.  Where a shingle stands in many prefixes its groups are tied to one
-   of them instead of to each other.  Families are the connected components.
-3. Families expand to their nodes; their sets are made anew from the texts, and
-   all pairs of a family are verified exactly.  A family beyond a block is split
-   by set size and hash, and each pair of blocks goes to a task of its own, so no
-   task holds more than two blocks and no pair is left out.
+   filters, and the pairs are kept.  A shingle that stands in more than HOT
+   prefixes keeps the list of its groups instead of the pairs of it.
+3. Groups expand to their nodes, which lie in blocks of bounded size.  Two
+   blocks meet, in a task of their own, if a kept pair, a frequent shingle or a
+   group reaches from one into the other and their sizes allow a link; a pair of
+   documents is in just one pair of blocks.  There all pairs are verified
+   exactly, on sets made anew from the texts: no link is lost, whatever blocks
+   hold, and no list of pairs is written for a large group of near copies.
 4. Verified links give the components, and every document gets its node's.
 
+Rows are told apart by numbers of their own, never by doc_id, so rows without or
+with the same doc_id cost what others do.
+
 Defined results: a null or wordless text has an empty set, n_shingles 0, and is
 linked with nothing; rows are judged one by one, so rows that repeat a doc_id or
 a text are linked as equal sets are; a null doc_id stays null and counts as no
@@ -35,15 +40,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import arrow_map, materialise, only, tidied
-from termloom.llm.components import components, local_forest
+from termloom.llm.common import materialise, only, tidied
+from termloom.llm.components import components
 from termloom.llm.sketch import rarest_first, sketch
 from termloom.llm.wordhash import WordHasher, mix, shingles
 
-#: Prefixes that share a shingle beyond which it ties them to one; nodes of a block.
+#: Prefixes that share a shingle beyond which it pairs blocks instead of groups; nodes of a block.
 HOT, BLOCK = 24, 384
 #: Matrix columns at a time while verifying.
 COLUMNS = 8192
+#: Bytes of sets that go to Spark at once.
+SHIPPED = 1 << 23
 
 
 def _sets(column: pa.Array, hasher: WordHasher, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -58,7 +65,7 @@ def prefix_size(n: int, num: int, den: int) -> int:
 
 
 def _described(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """A row for each document: its own number, set size and signature, prefix and the prefix's hash."""
+    """A row for each document: its own number, set size and signature, prefix and the prefix's hash, and the text as it is."""
     counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, k, lower=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,45 +83,72 @@ def _described(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 prefixes.append(prefix.view(np.int64))
             size = len(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + size)), batch.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (s1, s2, g)], pa.array(prefixes, pa.list_(pa.int64()))],
-                ["row", "doc_id", "n", "s1", "s2", "g", "prefix"],
+                [pa.array(np.arange(row, row + size)), batch.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (s1, s2, g)], pa.array(prefixes, pa.list_(pa.int64())), batch.column("text")],
+                ["row", "doc_id", "n", "s1", "s2", "g", "prefix", "text"],
             )
             row += size
 
-    return docs.mapInArrow(tidied(run), "row long, doc_id long, n long, s1 long, s2 long, g long, prefix array<long>")
+    return docs.mapInArrow(tidied(run), "row long, doc_id long, n long, s1 long, s2 long, g long, prefix array<long>, text string")
 
 
-def _candidates(groups: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of groups that may be linked, or ties through which they are."""
+def _candidates(groups: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of groups that pass the filters, and (key, gid, m, hub) of groups that share a frequent shingle."""
     postings = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
     often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("gid").alias("hub")).where("m > 1")
     shared = materialise(postings.join(often, "token"), "postings")
     few = shared.where(F.col("m") <= HOT)
     a, b = (few.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("gid", "n", "pos")]) for side in "ab")
     fits = (F.col("gid_a") < F.col("gid_b")) & (den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & ((num + den) * F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= num * (F.col("n_a") + F.col("n_b")))
-    pairs = local_forest(a.join(b, "token").where(fits).select(F.col("gid_a").alias("a"), F.col("gid_b").alias("b")))
-    ties = local_forest(shared.where((F.col("m") > HOT) & (F.col("gid") != F.col("hub"))).select(F.col("gid").alias("a"), F.col("hub").alias("b")))
-    return pairs.unionByName(ties)
+    pairs = materialise(a.join(b, "token").where(fits).select(F.col("gid_a").alias("a"), F.col("gid_b").alias("b")).distinct(), "pairs")
+    return pairs, shared.where(F.col("m") > HOT).select(F.col("token").alias("key"), "gid", "m", "hub")
+
+
+def _labels(pairs: DataFrame, hot: DataFrame) -> DataFrame:
+    """(gid, label) of groups with a candidate: groups that should lie in one block mostly share a label.
+
+    Labels only decide what is shipped together, never what is compared.  A group
+    with frequent shingles takes the hub of its most frequent one, others the
+    least start among their partners, and their partners' in turn.
+    """
+    own = hot.groupBy("gid").agg(F.max_by("hub", F.struct("m", "key")).alias("fixed"))
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    every = both.select(F.col("a").alias("gid")).distinct().join(own, "gid", "full").select("gid", "fixed", F.coalesce("fixed", "gid").alias("label"))
+    every = materialise(every, "labels")
+    for _ in range(2):
+        near = both.join(every.select(F.col("gid").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        label = F.coalesce("fixed", F.least("label", "near"))
+        every = materialise(every.join(near, every["gid"] == near["a"], "left").select("gid", "fixed", label.alias("label")), "labels")
+    return every.select("gid", "label")
 
 
 def _blocks(nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """nodes with the key of each pair of blocks they are in: (f, i, j), and side 0, 1, or 2 if both blocks are one."""
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(den / num)).cast("int")
+    """nodes (label, n, ...) with block and band: blocks of BLOCK nodes at most about; large labels are split by set size and hash."""
+    band = F.floor(F.log(F.col("n").cast("double")) / (math.log(den / num) * 1.0000001)).cast("int")
     nodes = nodes.withColumn("band", band)
-    sizes = nodes.groupBy("f", "band").agg(F.count(F.lit(1)).alias("c"))
-    totals = sizes.groupBy("f").agg(F.sum("c").alias("total"))
-    many = totals.where(F.col("total") > BLOCK)
-    whole = nodes.join(totals.where((F.col("total") > 1) & (F.col("total") <= BLOCK)).select("f"), "f").select("f", F.lit("").alias("i"), F.lit("").alias("j"), F.lit(2).alias("side"), F.lit(True).alias("only"), "node", "doc_id", "s1", "copies")
-    cut = sizes.join(many.select("f"), "f").select("f", "band", F.ceil(F.col("c") / BLOCK).cast("int").alias("parts"))
-    near = cut.select("f", F.col("band").alias("other"), F.col("parts").alias("other_parts"))
-    # a node meets the blocks of its own band and, as sizes may differ by a factor, those of the bands beside it
-    own = nodes.join(cut, ["f", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    own = own.withColumn("other", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1))).join(near, ["f", "other"])
-    own = own.withColumn("other_part", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)))
-    name = lambda b, p: F.format_string("%06d-%06d", b, p)
-    own = own.select("*", name(F.col("band"), F.col("part")).alias("x"), name(F.col("other"), F.col("other_part")).alias("y"))
-    side = F.when(F.col("x") == F.col("y"), 2).when(F.col("x") < F.col("y"), 0).otherwise(1)
-    return whole.unionByName(own.select("f", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), side.alias("side"), F.lit(False).alias("only"), "node", "doc_id", "s1", "copies"))
+    sizes = nodes.groupBy("label", "band").agg(F.count(F.lit(1)).alias("c"))
+    totals = sizes.groupBy("label").agg(F.sum("c").alias("total"))
+    plan = sizes.join(totals, "label").select("label", "band", (F.col("total") > BLOCK).alias("split"), F.ceil(F.col("c") / BLOCK).alias("parts"))
+    plan = materialise(plan, "block-sizes")  # written first: then the join deals both sides out and may split a large label
+    placed = nodes.join(plan, ["label", "band"])
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    name = F.when(F.col("split"), F.concat_ws("-", "label", "band", part)).otherwise(F.col("label").cast("string"))
+    return placed.withColumn("block", name).withColumn("band", F.when(F.col("split"), F.col("band"))).drop("split", "parts")
+
+
+def _block_pairs(placed: DataFrame, pairs: DataFrame, hot: DataFrame) -> DataFrame:
+    """Pairs of different blocks (x < y) that hold a candidate pair; no pair of documents is written for a frequent shingle."""
+    of = materialise(placed.select("gid", "block", "band").distinct(), "group-blocks")
+    near = (F.col("x") < F.col("y")) & (F.col("band_x").isNull() | F.col("band_y").isNull() | (F.abs(F.col("band_x") - F.col("band_y")) <= 1))
+    side = lambda df, c, *keys: df.select(*keys, F.col("block").alias(c), F.col("band").alias(f"band_{c}"))
+    one = pairs.join(side(of, "p", F.col("gid").alias("a")), "a").join(side(of, "q", F.col("gid").alias("b")), "b")
+    flip = F.col("p") < F.col("q")
+    pick = lambda u, v, c: F.when(flip, F.col(u)).otherwise(F.col(v)).alias(c)
+    one = one.select(pick("p", "q", "x"), pick("band_p", "band_q", "band_x"), pick("q", "p", "y"), pick("band_q", "band_p", "band_y"))
+    # blocks with a frequent shingle in common, and blocks of one group
+    keyed = hot.select(F.concat(F.lit("t"), "key").alias("k"), "gid").join(of, "gid").select("k", "block", "band").unionByName(of.select(F.concat(F.lit("g"), "gid").alias("k"), "block", "band"))
+    keyed = materialise(keyed.distinct(), "block-keys")
+    many = side(keyed, "x", "k").join(side(keyed, "y", "k"), "k").drop("k")
+    return one.unionByName(many).where(near).select("x", "y").distinct()
 
 
 def linked(sets: list[np.ndarray], sides: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -144,10 +178,9 @@ def linked(sets: list[np.ndarray], sides: np.ndarray, num: int, den: int) -> np.
 
 def _verify(rows: list[tuple], num: int, den: int) -> list[tuple[int, int, int]]:
     """(node, least node it is linked with through others here, documents linked with it)."""
-    once = list({r[0]: r for r in rows}.values())  # a text may come more than once if its doc_id repeats
-    nodes = np.array([r[0] for r in once])
-    copies = np.array([r[3] for r in once], dtype=np.int64)
-    link = linked([np.frombuffer(r[2], np.uint64) for r in once], np.array([r[1] for r in once]), num, den)
+    nodes = np.array([r[0] for r in rows])
+    copies = np.array([r[3] for r in rows], dtype=np.int64)
+    link = linked([np.frombuffer(r[2], np.uint64) for r in rows], np.array([r[1] for r in rows]), num, den)
     links, root = link @ copies, nodes.copy()
     todo = np.ones(len(nodes), bool)
     for i in np.argsort(nodes):
@@ -170,46 +203,59 @@ def similar(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataF
     full = rows.where("n > 0")
     nodes = full.groupBy("s1", "s2", "n", "g").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies"))
     nodes = materialise(nodes, "nodes")
-    groups = nodes.groupBy("n", "g").agg(F.min("node").alias("gid"))
-    heads = materialise(groups.join(full.select(F.col("row").alias("gid"), "prefix"), "gid").select("gid", "n", "prefix"), "groups")
-    families = components(_candidates(heads, num, den), "families")
-    placed = nodes.join(groups, ["n", "g"]).join(families.select(F.col("id").alias("gid"), F.col("component").alias("f")), "gid", "left").withColumn("f", F.coalesce("f", "gid"))
-    placed = materialise(placed.join(full.select(F.col("row").alias("node"), "doc_id"), "node").select("f", "node", "n", "s1", "copies", "doc_id"), "families")
-    blocks = _blocks(placed, num, den)
-
-    def make():
+    groups = materialise(nodes.groupBy("n", "g").agg(F.min("node").alias("gid"), F.count(F.lit(1)).alias("members")), "groups")
+    heads = materialise(groups.join(full.select(F.col("row").alias("gid"), "prefix"), "gid").select("gid", "n", "prefix"), "heads")
+    pairs, hot = _candidates(heads, num, den)
+    labels = groups.join(_labels(pairs, hot), "gid", "left").where("label is not null or members > 1").select("n", "g", "gid", F.coalesce("label", "gid").alias("label"))
+    placed = nodes.join(labels, ["n", "g"]).select("gid", "label", "node", "n", "copies")
+    placed = materialise(_blocks(placed, num, den), "placed")
+    between = materialise(_block_pairs(placed, pairs, hot), "block-pairs")
+    inside = placed.groupBy("block").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("block").alias("x"), F.col("block").alias("y"))
+    tasks = between.unionByName(inside)
+    turn = F.struct("x", "y", F.when(F.col("x") == F.col("y"), 2).otherwise(0).alias("side"))
+    turns = tasks.select(F.col("x").alias("block"), turn.alias("turn")).unionByName(between.select(F.col("y").alias("block"), F.struct("x", "y", F.lit(1).alias("side")).alias("turn")))
+    turns = turns.groupBy("block").agg(F.collect_list("turn").alias("turns"))  # as many as a block has partners
+    wanted = placed.join(turns, "block").select("node", "copies", "turns").join(full.select(F.col("row").alias("node"), "text"), "node")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(lower=True)
-
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out, good = [], []
-            for (i, s), own in zip(_sets(batch.column("text"), hasher, k), batch.column("s1").to_pylist(), strict=True):
-                with np.errstate(over="ignore"):
-                    if mix(s + np.uint64(1)).sum(dtype=np.uint64).astype(np.int64) == own:
-                        out.append(s.tobytes())
-                        good.append(i)
-            return pa.RecordBatch.from_arrays([c.take(pa.array(good, pa.int64())) for c in batch.columns[:7]] + [pa.array(out, pa.binary())], [*batch.schema.names[:7], "set"])
-
-        return each
-
-    wanted = blocks.withColumnRenamed("doc_id", "doc").join(docs, F.col("doc").eqNullSafe(F.col("doc_id")))
-    keys = ["f", "i", "j"]
-    shipped = arrow_map(wanted.select(*keys, "side", "only", "node", "copies", "s1", "text"), make, "f long, i string, j string, side int, only boolean, node long, copies long, set binary")
+        for batch in batches:
+            out, size = [], 0
+            names, copies, turns = (batch.column(c).to_pylist() for c in ("node", "copies", "turns"))
+            for i, s in _sets(batch.column("text"), hasher, k):
+                held = s.tobytes()
+                alone = all(t["side"] == 2 for t in turns[i])
+                for t in turns[i]:
+                    out.append((t["x"], t["y"], t["side"], alone, names[i], copies[i], held))
+                    size += len(held)
+                    if size > SHIPPED:
+                        yield shipment(out)
+                        out, size = [], 0
+            if out:
+                yield shipment(out)
+
+    def shipment(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)], ["x", "y", "side", "only", "node", "copies", "set"])
+
+    keys = ["x", "y"]
+    shipped = wanted.mapInArrow(tidied(sets), "x string, y string, side int, only boolean, node long, copies long, set binary")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, done = None, [], []
+        key, held, done, only = None, [], [], False
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in (*keys, "only", "node", "side", "set", "copies")]
-            for f, i, j, alone, *row in zip(*columns, strict=True):
-                if (f, i, j, alone) != key:
+            for x, y, alone, *row in zip(*columns, strict=True):
+                if (x, y) != key:
                     if held:
-                        done += [(*r, key[3]) for r in _verify(held, num, den)]
-                    key, held = (f, i, j, alone), []
+                        done += [(*r, only) for r in _verify(held, num, den)]
+                    key, held, only = (x, y), [], alone
                 held.append(row)
             if len(done) > 5000:
                 yield batch_of(done)
                 done = []
         if held:
-            done += [(*r, key[3]) for r in _verify(held, num, den)]
+            done += [(*r, only) for r in _verify(held, num, den)]
         if done:
             yield batch_of(done)
 

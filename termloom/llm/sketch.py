@@ -16,7 +16,7 @@ CELLS, ROW = 22, 4096
 
 
 def sketch(docs: DataFrame, k: int, lower: bool) -> np.ndarray:
-    """Occurrences of all shingles in 2**CELLS hashed cells: rows are summed in tasks and then across them."""
+    """Levels of the occurrences of all shingles in 2**CELLS hashed cells: rows are summed in tasks and then across them."""
     rows = 1 << CELLS - ROW.bit_length() + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,10 +45,14 @@ def sketch(docs: DataFrame, k: int, lower: bool) -> np.ndarray:
     out = np.zeros((rows, ROW), np.uint32)
     for r in docs.select("text").mapInArrow(tidied(count), schema).repartition("row").mapInArrow(tidied(add), schema).toLocalIterator():
         out[r["row"]] = np.frombuffer(r["cells"], np.uint32)
-    return out.reshape(-1)
+    return levels_of(out.reshape(-1))
 
 
-def rarest_first(hashes: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    """Sort keys by the cell's count, then by the hash."""
-    counts = np.minimum(cells[(hashes >> np.uint64(64 - CELLS)).astype(np.int64)], 0x3FFFFF).astype(np.uint64)
-    return counts << np.uint64(42) | hashes >> np.uint64(22)
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """Counts as sixteenths of powers of two: no large count is cut off, so what is frequent stands out at any size."""
+    return np.floor(16 * np.log2(counts.astype(np.float64) + 1)).astype(np.uint16)
+
+
+def rarest_first(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Sort keys by the level of the cell's count, then by the hash."""
+    return levels[(hashes >> np.uint64(64 - CELLS)).astype(np.int64)].astype(np.uint64) << np.uint64(54) | hashes >> np.uint64(10)

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -55,3 +56,31 @@ def test_documents(spark, edge, empty):
     assert out.columns == edge.columns
     kept = {r.doc_id for r in out.select("doc_id").collect()}
     assert {0, 1, 2, 3, 4, 6, 7, 9, None} <= kept and not kept & {5, 8, 10}
+
+
+def test_rows_without_ids_cost_what_others_do(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    texts = []
+    for _ in range(5000):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        texts += [" ".join(w), " ".join([*w[:-1], "end"])]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).cache()
+    seconds = []
+    for docs in (d, d.withColumn("doc_id", F.lit(None).cast("long"))):
+        began = time.monotonic()
+        got = similar(docs).groupBy("n_links").count().collect()
+        seconds.append(time.monotonic() - began)
+        assert [tuple(r) for r in got] == [(1, 10_000)]
+    assert seconds[1] < 2 * seconds[0] + 5
+
+
+def test_a_large_group_of_different_near_copies(spark):
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join([*base, *(f"x{i}y{j}" for j in range(3))]) for i in range(900)]  # all shingles but a few are in all
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = similar(d).groupBy("component_id", "n_links").count().collect()
+    assert [tuple(r) for r in got] == [(0, 899, 900)]
