@@ -79,18 +79,90 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
+def agreeing(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+    """For each suffix in order whether its first `depth` symbols are those of the one before it (its longest common prefix, cut off)."""
+    n = len(text)
+    same = np.zeros(n, bool)
+    alive = np.arange(1, n)
+    for d in range(depth):
+        a, b = order[alive - 1] + d, order[alive] + d
+        ok = (a < n) & (b < n)
+        alive, a, b = alive[ok], a[ok], b[ok]
+        alive = alive[(text[a] == text[b]) & (text[a] != 0)]
+    same[alive] = True
+    return same
+
+
 class FMIndex:
     """Backward search over a sequence of symbols 1 and up, in which a 0 ends every part.
 
+    What is kept is compressed: the wavelet tree of the Burrows-Wheeler
+    transform, a bit for each suffix that tells where runs of suffixes with the
+    same first `size` symbols begin, and one value for each such run.  The text
+    and its suffix order are dropped once these are made.
+
     depth: at least the length of the longest part with its 0.
+    value: for each place of the text a number, of which a run gets the least;
+    weight: for each place a number, of which a run gets the sum.
     """
 
-    def __init__(self, text: np.ndarray, size: int, depth: int) -> None:
-        self.order = suffix_order(text, depth)
-        self.last = WaveletTree(text[self.order - 1], size)  # the symbol before each suffix
-        self.start = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=size))))
+    def __init__(self, text: np.ndarray, symbols: int, depth: int, size: int = 1, value: np.ndarray | None = None, weight: np.ndarray | None = None) -> None:
+        order = suffix_order(text, depth)
+        self.n = len(text)
+        self.last = WaveletTree(text[order - 1], symbols)  # the symbol before each suffix
+        self.start = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=symbols))))
+        self.size = size
+        first = ~agreeing(text, order, size)
+        self.runs = RankBits(first.astype(np.uint8))
+        starts = np.flatnonzero(first)
+        self.bounds = np.append(starts, self.n).astype(np.int32)
+        self.least = np.minimum.reduceat(value[order], starts) if value is not None else None
+        self.total = np.add.reduceat(weight[order], starts) if weight is not None else None
 
     def extend(self, symbols: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The intervals of symbol + pattern from those of patterns."""
+        """The intervals of symbol + pattern from those of patterns; empty where that doesn't occur."""
         base = self.start[symbols]
         return base + self.last.rank(symbols, low), base + self.last.rank(symbols, high)
+
+    def run(self, low: np.ndarray) -> np.ndarray:
+        """The run in which suffix number `low` lies."""
+        return self.runs.rank(low + 1) - 1
+
+    def windows(self, text: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(part, offset, run) for every place of the given parts whose matching statistic reaches `size`.
+
+        Parts are streamed from their last symbols to their first, all at once.
+        A match grows to the left by backward search and is held at `size`
+        symbols, the run's own interval.  If it can't grow, no window that holds
+        all of it and the next symbol occurs, so the search goes on with a match
+        that ends one symbol before.  Symbol -1 occurs nowhere, nor does a window
+        that holds it.
+        """
+        parts, offsets, runs = [], [], []
+        end, at = lengths.copy(), lengths.copy()  # the match is from `at` to `end`
+        low, high = np.zeros(len(lengths), np.int64), np.full(len(lengths), self.n)
+        active = np.flatnonzero(lengths >= self.size)
+        while len(active):
+            symbol = text[begin[active] + at[active] - 1]
+            known = symbol > 0
+            lo, hi = np.zeros(len(active), np.int64), np.zeros(len(active), np.int64)
+            lo[known], hi[known] = self.extend(symbol[known], low[active][known], high[active][known])
+            good = hi > lo
+            on, off = active[good], active[~good]
+            at[on] -= 1
+            low[on], high[on] = lo[good], hi[good]
+            full = on[end[on] - at[on] >= self.size]
+            if len(full):
+                r = self.run(low[full])
+                low[full], high[full] = self.bounds[r], self.bounds[r + 1]
+                end[full] = at[full] + self.size
+                parts.append(full)
+                offsets.append(at[full].copy())
+                runs.append(r)
+            end[off] = np.where(known[~good], end[off], at[off]) - 1
+            at[off] = end[off]
+            low[off], high[off] = 0, self.n
+            # a window must still fit in front of the match's end
+            active = active[(end[active] >= self.size) & (at[active] > 0)]
+        none = np.zeros(0, np.int64)
+        return tuple(np.concatenate(x) if x else none for x in (parts, offsets, runs))

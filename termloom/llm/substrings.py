@@ -11,13 +11,14 @@ over it has the same words as one that starts earlier.
    The others are found by a filter of bits; what it lets through in error is
    only more work.
 3. Equal segments collapse to one, with its first occurrence and its number.
-   Different segments of one anchor are dealt to shards by the anchor.  A shard
-   builds a compressed FM-index over them (wavelet tree over the Burrows-Wheeler
-   transform) and streams the segments through it: backward search, one step a
-   word, gives for each position the interval of its match, and intervals of
-   matches of at least `size` words lie in one run of suffixes, whose first
-   occurrence is the earliest.  The only segment of an anchor has no other to
-   match; its copies are its matches.
+   Segments that recur, and all of an anchor that has several, are dealt to
+   shards by the anchor.  A shard builds a compressed FM-index over them (wavelet
+   tree over the Burrows-Wheeler transform, run bits, the earliest place of each
+   run) and documents' segments are streamed through it: backward search, a step
+   a word, gives the matching statistic of every position, and where it reaches
+   `size` the interval's run tells the earliest start.  An anchor with very many
+   segments is split into blocks, each with an index of its own through which
+   the segments of all its blocks are streamed.
 4. Each occurrence of a segment learns which of its windows started earlier
    elsewhere, and each document loses the words under them.
 
@@ -42,6 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from termloom.llm.common import arrow_map, materialise, tidied
 from termloom.llm.fmindex import FMIndex
@@ -51,6 +53,8 @@ from termloom.llm.wordhash import WordHasher, mix, shingles
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 #: Words of an anchor; words of one index at most, if its anchors allow.
 SEED, INDEX = 5, 600_000
+#: Segments of one anchor from which it is dealt into blocks, and segments that are streamed at once.
+SPLIT, STREAMED = 8000, 8000
 #: Bits of the filter for each recurring anchor, and its least and greatest size as powers of two.
 BITS_EACH, LEAST_BITS, MOST_BITS, BLOCK = 8, 20, 28, 4096
 
@@ -117,22 +121,13 @@ def recurring(docs: DataFrame, size: int, shared) -> tuple[np.ndarray, int]:
     return out.reshape(-1), power
 
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-
 SEGMENTS = "doc_id long, t long, starts array<int>, windows array<int>, seeds array<long>, contents array<long>"
 
 
 def content_hashes(words: np.ndarray, first: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of the words from each first to its end, read off one running sum over the document."""
-    n = len(words)
-    with np.errstate(over="ignore"):
-        step = np.full(n + 1, _BASE, np.uint64)
-        step[0] = 1
-        power = np.cumprod(step, dtype=np.uint64)
-        step[1:] = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        inverse = np.cumprod(step, dtype=np.uint64)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(words + np.uint64(1)) * power[:n], dtype=np.uint64)))
-        return mix((total[ends] - total[first]) * inverse[first] + (ends - first).astype(np.uint64))
+    """A hash of the words from each first to its end."""
+    held = memoryview(words.tobytes())
+    return np.array([xxh3_64_intdigest(held[8 * a : 8 * b]) for a, b in zip(first.tolist(), ends.tolist(), strict=True)], np.uint64)
 
 
 def _segments(docs: DataFrame, size: int, shared, bits) -> DataFrame:
@@ -160,7 +155,7 @@ def _segments(docs: DataFrame, size: int, shared, bits) -> DataFrame:
 
 def _words_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """The words of wanted segments (seed, content, n, windows and first occurrence), read at that occurrence."""
-    spots = wanted.select(F.col("first.d").alias("d"), F.col("first.t").alias("h"), F.struct("seed", "content", "n", "windows", F.col("first.s").alias("s")).alias("x")).groupBy("d", "h").agg(F.collect_list("x").alias("spots"))  # at most the segments of one document
+    spots = wanted.select(F.col("first.d").alias("d"), F.col("first.t").alias("h"), F.struct("seed", "content", "n", "windows", "parts", F.col("first.s").alias("s")).alias("x")).groupBy("d", "h").agg(F.collect_list("x").alias("spots"))  # at most the segments of one document
     once = docs.join(spots, docs["doc_id"].eqNullSafe(spots["d"]) & (docs["t"] == spots["h"])).select("doc_id", "t", "text", "spots")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +167,7 @@ def _words_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 if (ids[i], ts[i]) in seen:
                     continue  # a repeated row
                 seen.add((ids[i], ts[i]))
-                out += [(x["seed"], x["content"], words[x["s"] : x["s"] + x["windows"] + size - 1].tobytes(), ids[i], ts[i], x["s"], x["n"]) for x in spots[i]]
+                out += [(x["seed"], x["content"], words[x["s"] : x["s"] + x["windows"] + size - 1].tobytes(), ids[i], ts[i], x["s"], x["n"], x["parts"]) for x in spots[i]]
                 if len(out) > 5000:
                     yield batch_of(out)
                     out = []
@@ -180,101 +175,129 @@ def _words_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 yield batch_of(out)
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["seed", "content", "words", "doc_id", "t", "first", "n"])
-
-    return once.mapInArrow(tidied(run), "seed long, content long, words binary, doc_id long, t long, first int, n long")
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["seed", "content", "words", "doc_id", "t", "first", "n", "parts"])
+
+    return once.mapInArrow(tidied(run), "seed long, content long, words binary, doc_id long, t long, first int, n long, parts long")
+
+
+RESULTS = "seed long, content long, offsets array<int>, lengths array<int>, docs array<long>, ts array<long>, places array<int>"
+_KINDS = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+
+
+class Shard:
+    """An FM-index over segments (seed, content, words, doc_id, t, first, n), through which segments are streamed."""
+
+    def __init__(self, parts: list[tuple], size: int) -> None:
+        self.size = size
+        arrays = [np.frombuffer(p[2], np.uint64) for p in parts]
+        self.vocabulary, symbols = np.unique(np.concatenate(arrays), return_inverse=True)
+        self.text, self.begin, self.lengths = self._joined(symbols + 1, [len(a) for a in arrays])
+        # places in the order of the corpus: document, then word
+        keys = [(p[3] is None, p[3] or 0, p[4]) for p in parts]
+        self.documents = sorted(set(keys))
+        rank = {k: i for i, k in enumerate(self.documents)}
+        code = np.array([(rank[k] << 32) + p[5] for k, p in zip(keys, parts, strict=True)], np.int64)
+        owner = np.repeat(np.arange(len(parts)), self.lengths + 1)
+        offset = np.arange(len(self.text)) - self.begin[owner]
+        window = offset + size <= self.lengths[owner]
+        value = np.where(window, code[owner] + offset, np.iinfo(np.int64).max)
+        weight = np.where(window, np.array([p[6] for p in parts], np.int64)[owner], 0)
+        self.index = FMIndex(self.text, len(self.vocabulary) + 1, int(self.lengths.max()) + 1, size, value, weight)
+
+    @staticmethod
+    def _joined(symbols: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The parts one after another, a 0 behind each; where they begin, and their lengths."""
+        lengths = np.array(lengths, np.int64)
+        text = np.zeros(len(symbols) + len(lengths), np.int64)
+        text[np.arange(len(symbols)) + np.repeat(np.arange(len(lengths)), lengths)] = symbols
+        return text, np.concatenate(([0], np.cumsum(lengths + 1)[:-1])), lengths
+
+    def stream(self, parts: list[tuple] | None = None) -> list[tuple]:
+        """For each segment (the shard's own, or others) its windows that the index holds, in stretches, with their earliest places there.
+
+        Of own segments only windows that occur more than once count.
+        """
+        if parts is None:
+            text, begin, lengths = self.text, self.begin, self.lengths
+        else:
+            arrays = [np.frombuffer(p[2], np.uint64) for p in parts]
+            words = np.concatenate(arrays)
+            at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
+            symbols = np.where(self.vocabulary[at] == words, at + 1, -1)
+            text, begin, lengths = self._joined(symbols, [len(a) for a in arrays])
+        part, offset, run = self.index.windows(text, begin, lengths)
+        if parts is None:
+            often = self.index.total[run] > 1
+            part, offset, run = part[often], offset[often], run[often]
+        if not len(part):
+            return []
+        order = np.lexsort((offset, part))
+        part, offset, place = part[order], offset[order], self.index.least[run[order]]
+        new = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (offset[1:] != offset[:-1] + 1) | (place[1:] != place[:-1] + 1))))
+        length = np.diff(np.append(new, len(part)))
+        return list(zip(part[new].tolist(), offset[new].tolist(), length.tolist(), (place[new] >> 32).tolist(), (place[new] & 0xFFFFFFFF).tolist(), strict=True))
+
+    def results(self, parts: list[tuple], own: bool) -> Iterator[pa.RecordBatch]:
+        rows: dict[int, list[list]] = {}
+        for p, offset, length, document, place in self.stream(None if own else parts):
+            late, doc, t = self.documents[document]
+            row = rows.setdefault(p, [[], [], [], [], []])
+            for held, x in zip(row, (offset, length, None if late else doc, t, place), strict=True):
+                held.append(x)
+        if rows:
+            out = [(parts[p][0], parts[p][1], *row) for p, row in rows.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), _KINDS, strict=True)], [c.split()[0] for c in RESULTS.split(", ")])
 
 
-def earliest(parts: list[tuple], size: int) -> list[tuple]:
-    """Of segments (seed, content, words, doc_id, t, first, n) with one entry each: (seed, content, offsets, doc_ids, ts, starts).
+def _indexed(segments: DataFrame, size: int) -> DataFrame:
+    """Segments (seed, parts, ...) streamed through the indexes of their anchors.
 
-    Listed are the windows that occur more than once, each with its earliest occurrence.
+    An anchor of few segments shares an index with others, and its segments are
+    streamed through the index they are in.  The segments of an anchor with very
+    many are dealt into `parts` blocks, and each block is streamed through the
+    index of each, every pair of blocks in a task of its own.
     """
-    arrays = [np.frombuffer(p[2], np.uint64) for p in parts]
-    lengths = np.array([len(a) for a in arrays])
-    _, symbols = np.unique(np.concatenate(arrays), return_inverse=True)
-    part = np.repeat(np.arange(len(parts)), lengths)
-    text = np.zeros(len(symbols) + len(parts), np.int64)
-    text[np.arange(len(symbols)) + part] = symbols + 1
-    begin = np.concatenate(([0], np.cumsum(lengths + 1)[:-1]))
-    index = FMIndex(text, int(symbols.max()) + 2, int(lengths.max()) + 1)
-
-    # occurrences in their order: (document, place in it)
-    keys = [(p[3] is None, p[3] or 0, p[4]) for p in parts]
-    documents = {k: i for i, k in enumerate(sorted(set(keys)))}
-    document = np.array([documents[k] for k in keys], dtype=np.int64)
-    first = np.array([p[5] for p in parts], dtype=np.int64)
-    count = np.array([p[6] for p in parts], dtype=np.int64)
-
-    # runs of suffixes whose first `size` words agree, and the earliest occurrence in each
-    order, n = index.order, len(text)
-    same = np.zeros(n, bool)
-    alive = np.arange(1, n)
-    for d in range(size):
-        a, b = order[alive - 1] + d, order[alive] + d
-        ok = (a < n) & (b < n)
-        alive, a, b = alive[ok], a[ok], b[ok]
-        alive = alive[(text[a] == text[b]) & (text[a] != 0)]
-    same[alive] = True
-    run = np.cumsum(~same) - 1
-    owner = np.repeat(np.arange(len(parts)), lengths + 1)
-    offset = np.arange(n) - begin[owner]
-    window = offset + size <= lengths[owner]
-    place = np.where(window, (document[owner] << 32) + first[owner] + offset, np.iinfo(np.int64).max)[order]
-    starts = np.flatnonzero(~same)
-    least = np.minimum.reduceat(place, starts)
-    often = np.add.reduceat(np.where(window[order], count[owner[order]], 0), starts)
-
-    # the segments streamed through the index, all at once, from their last words to their first
-    low, high = np.zeros(len(parts), np.int64), np.full(len(parts), n)
-    found: list[list[tuple[int, int]]] = [[] for _ in parts]
-    active = np.arange(len(parts))
-    for matched in range(1, int(lengths.max()) + 1):
-        active = active[lengths[active] >= matched]
-        at = lengths[active] - matched
-        low[active], high[active] = index.extend(text[begin[active] + at], low[active], high[active])
-        if matched >= size:
-            r = run[low[active]]
-            hit = often[r] > 1
-            for p, o, e in zip(active[hit].tolist(), at[hit].tolist(), least[r[hit]].tolist(), strict=True):
-                found[p].append((o, e))
-    listed = sorted(documents)
-    out = []
-    for p, own in enumerate(found):
-        if own:
-            where = [listed[e >> 32] for _, e in own]
-            out.append((parts[p][0], parts[p][1], [o for o, _ in own], [None if w[0] else w[1] for w in where], [w[2] for w in where], [e & 0xFFFFFFFF for _, e in own]))
-    return out
-
-
-RESULTS = "seed long, content long, offsets array<int>, docs array<long>, ts array<long>, places array<int>"
-
-
-def _indexed(segments: DataFrame, size: int) -> DataFrame:
-    """Shards of segments by anchor; within a task, one index after another over whole anchors."""
+    part = F.pmod(F.xxhash64("content"), F.col("parts")).cast("int")
+    turn = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+    every = F.sequence(F.lit(0), F.col("parts").cast("int") - 1)
+    many = F.concat(F.transform(every, lambda j: turn(F.col("part"), j, 0)), F.transform(every, lambda i: turn(i, F.col("part"), 1)))
+    turns = F.when(F.col("parts") > 1, many).otherwise(F.array(turn(F.lit(0), F.lit(0), 2)))
+    names = ["seed", "content", "words", "doc_id", "t", "first", "n"]
+    dealt = segments.withColumn("part", part).select(*names, F.explode(turns).alias("x")).select(*names, "x.*")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        words, last = 0, None
+        held: list[tuple] = []  # of whole anchors, or the index side of one pair of blocks
+        passing: list[tuple] = []
+        words, last, pair, shard = 0, None, None, None
 
-        def flush():
-            if out := earliest(held, size) if held else []:
-                kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["seed", "content", "offsets", "docs", "ts", "places"])
-            held.clear()
+        def finish():
+            if pair is None:
+                if held:
+                    yield from Shard(held, size).results(held, own=True)
+            elif passing:
+                yield from (shard or Shard(held, size)).results(passing, own=False)
 
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("seed", "content", "words", "doc_id", "t", "first", "n")], strict=True):
-                if row[0] != last and words > INDEX:
-                    yield from flush()
-                    words = 0
+            for *row, i, j, side in zip(*[batch.column(c).to_pylist() for c in (*names, "i", "j", "side")], strict=True):
+                key = None if side == 2 else (row[0], i, j)
+                if key != pair or (key is None and row[0] != last and words > INDEX):
+                    yield from finish()
+                    held, passing, shard, words, pair = [], [], None, 0, key
                 last = row[0]
-                held.append(row)
-                words += len(row[2]) // 8
-        yield from flush()
+                if side == 1:
+                    passing.append(tuple(row))
+                    if len(passing) >= STREAMED:
+                        shard = shard or Shard(held, size)
+                        yield from shard.results(passing, own=False)
+                        passing = []
+                else:
+                    held.append(tuple(row))
+                    words += len(row[2]) // 8
+        yield from finish()
 
-    return segments.repartition("seed").sortWithinPartitions("seed").mapInArrow(tidied(run), RESULTS)
+    keys = ["seed", "i", "j"]
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(tidied(run), RESULTS)
 
 
 def remove_repeats(docs: DataFrame, size: int = 20, keep_text: bool = True) -> DataFrame:
@@ -288,20 +311,17 @@ def remove_repeats(docs: DataFrame, size: int = 20, keep_text: bool = True) -> D
     spot = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("d"), F.col("t").alias("t"), F.col("start").alias("s"))
     different = places.groupBy("seed", "content").agg(F.min(spot).alias("first"), F.count(F.lit(1)).alias("n"), F.max("windows").alias("windows"))
     different = materialise(different, "contents")
-    per_seed = different.groupBy("seed").agg(F.count(F.lit(1)).alias("kinds"))
-    # a segment that is its anchor's only one matches none but its own copies; the others go to the index
-    marked = different.join(per_seed, "seed")
-    copies = marked.where("kinds = 1 and n > 1").select("seed", "content", "first")
-    found = materialise(_indexed(_words_of(docs, marked.where("kinds > 1"), size), size), "matches")
-    none = lambda kind: F.lit(None).cast(kind)
-    results = found.select("*", none(different.schema["first"].dataType).alias("first")).unionByName(copies.select("seed", "content", none("array<int>").alias("offsets"), none("array<long>").alias("docs"), none("array<long>").alias("ts"), none("array<int>").alias("places"), "first"))
-    each = F.arrays_zip("offsets", "docs", "ts", "places")
-    later = F.filter(each, lambda w: ~(w["docs"].eqNullSafe(F.col("doc_id")) & (w["ts"] == F.col("t")) & (w["places"] == F.col("start") + w["offsets"])))
-    same = F.col("first.d").eqNullSafe(F.col("doc_id")) & (F.col("first.t") == F.col("t")) & (F.col("first.s") == F.col("start"))
-    whole = F.when(same, F.array().cast("array<int>")).otherwise(F.sequence("start", F.col("start") + F.col("windows") - 1))
-    starts = F.when(F.col("first").isNotNull(), whole).otherwise(F.transform(later, lambda w: F.col("start") + w["offsets"]))
-    gone = places.join(results, ["seed", "content"]).select("doc_id", "t", starts.alias("w")).where(F.size("w") > 0)
-    gone = gone.groupBy("doc_id", "t").agg(F.array_distinct(F.flatten(F.collect_list("w"))).alias("windows"))  # at most the windows of one document
+    # written first: then the join deals both sides out and may split an anchor that has very many
+    per_seed = materialise(different.groupBy("seed").agg(F.count(F.lit(1)).alias("kinds")), "anchor-kinds")
+    marked = different.join(per_seed, "seed").where("kinds > 1 or n > 1").withColumn("parts", F.ceil(F.col("kinds") / SPLIT))
+    results = materialise(_indexed(_words_of(docs, marked, size), size), "matches")
+    each = F.arrays_zip("offsets", "lengths", "docs", "ts", "places")
+    order = lambda doc, t, at: F.struct(doc.isNull().alias("late"), F.coalesce(doc, F.lit(0)).alias("d"), t.alias("t"), at.alias("at"))
+    own = lambda w: order(F.col("doc_id"), F.col("t"), F.col("start") + w["offsets"])
+    later = F.filter(each, lambda w: order(w["docs"], w["ts"], w["places"]) < own(w))
+    gone = places.join(results, ["seed", "content"]).select("doc_id", "t", "start", F.explode(later).alias("w")).select("doc_id", "t", (F.col("start") + F.col("w.offsets")).alias("at"), F.col("w.lengths").alias("length"))
+    # rows that repeat a document say the same, so what is collected is one document's stretches
+    gone = gone.groupBy("doc_id", "t", "at").agg(F.max("length").alias("length")).groupBy("doc_id", "t").agg(F.collect_list(F.struct("at", "length")).alias("windows"))
     gone = gone.select(F.col("doc_id").alias("d"), F.col("t").alias("h"), "windows")
     joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["d"]) & (docs["t"] == gone["h"]), "left").select("doc_id", "text", "windows")
 
@@ -312,16 +332,16 @@ def remove_repeats(docs: DataFrame, size: int = 20, keep_text: bool = True) -> D
                 words = WORDS.findall(text or "")
                 cut = np.zeros(len(words) + 1, np.int64)
                 if windows:
-                    at = np.array(windows)
+                    at, length = (np.array([w[c] for w in windows]) for c in ("at", "length"))
                     np.add.at(cut, at, 1)
-                    np.add.at(cut, at + size, -1)
+                    np.add.at(cut, at + length + size - 1, -1)
                 keep = np.cumsum(cut)[:-1] == 0
                 left = " ".join([w for w, k in zip(words, keep.tolist(), strict=True) if k] if windows else words)
                 n.append(len(words))
                 removed.append(len(words) - int(keep.sum()))
                 hashes.append(sha256(left.encode("utf-8", "surrogatepass")).hexdigest())
                 kept.append(left)
-                starts.append(sorted(windows or []))
+                starts.append(sorted({i for w in windows or [] for i in range(w["at"], w["at"] + w["length"])}) if keep_text else None)
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(hashes)]
             names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
             if keep_text:
