@@ -201,8 +201,10 @@ class Template:
         """(first, end, aligned words) of the notices between lo and hi, which may hold several.
 
         Where most triples of template and text agree on a start, the window
-        around it is aligned first, and the best of these counts; if none covers
-        the template, every start is tried in turn.
+        around it is aligned first, and the first that covers the template counts;
+        if none does, the windows of `span` words from every start are tried in
+        turn.  Patience alignment is no longest common subsequence: repeated words
+        may hide a notice that is cut about.
         """
         found, todo = [], [(lo, hi)]
         slack = self.span - len(self.words)
