@@ -1,42 +1,53 @@
 """Operator 6: main text of web pages by removal of site templates.
 
-A page is parsed into a tree once.  What is no article by its own markup goes
-first: scripts, styles, forms, navigation, headers and footers of the page,
-asides, and elements whose class, id or role names a menu, sidebar, notice,
-advert or comment.  If the page marks its article (article, main, role=main),
-that is what remains.  On all pages every other subtree outside the marked
-article gets a hash of its tags and text, Spark counts for each host on how
-many of its pages a hash occurs, and subtrees that occur on at least `share` of
-a host's pages, and on at least `least` of them, or on `many` of them whatever
-the share, are templates: they are deleted from the pages that mark no article.
-Pages of one host with the same content count as one page.  An article that
-the page itself marks is never taken for a template, so copies of an article
-on one host keep their text.
+A page is parsed once.  Every element with text gets a hash of its tags and text,
+inside and outside of articles; Spark counts for each host on how many of its
+different pages a hash occurs.  Elements that recur on at least `share` of a
+host's pages, and on `least` of them, or, where no article is marked, on `many`,
+are the site's template and are deleted, with all that is in them.  Pages of one
+host with the same content count as one page, and templates that together hold
+most of a page, as the paragraphs that near copies share, stay.
+
+What is no article by its own markup goes whatever the counts say: scripts,
+styles, form controls, navigation, headers and footers of the page, asides,
+reader comments, and elements whose class, id or role names a menu, sidebar,
+notice or advert; but a form, or an element of such a name, that holds most of
+the page's text is its content.  If the page marks its article (article, main,
+role=main), that is what remains.
 
 Counting aggregates before the shuffle, so a host with a third of all pages
-sends one row a task and hash.  What comes back to a page is the set of its own
-hashes that recur, by a join on host and hash.
+sends one row a task and hash.  A page keeps its blocks of text and for each
+element the blocks in it; templates come back to it by a join on host and hash,
+and the page is not parsed again.
 
 Defined results: null html is empty and gives an empty text; a null url belongs
 to the host ''; a page with no text gives ''; tags that never close end with
-their parent; repeated rows stay repeated; an empty table gives an empty
+their parent; very long and very deep pages are read whole; repeated rows stay
+repeated; an empty table gives an empty
 result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from hashlib import blake2b
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import arrow_map, materialise
+from termloom.llm.common import materialise, tidied
 
 #: A template stands on so many pages of a host, and on such a share of them, or on many.
 LEAST_PAGES, SHARE, MANY_PAGES = 10, 0.2, 500
+#: Templates that hold more than these shares of a marked article's text, or of an unmarked page's, are kept.
+ARTICLE_LOSS, PAGE_LOSS = 0.3, 0.9
+#: Pages parsed at once.
+ROWS = 500
 
 # HTML elements by how they take part.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -49,16 +60,20 @@ CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr"
 ENDS_P = {"address", "article", "aside", "blockquote", "center", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 SCOPES = {"p": {"div", "article", "section", "td", "th", "li", "body", "blockquote", "main"}, "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select", "datalist"}}
 KEPT = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"}
-# Words in class, id or role that name what is no article.
-NOISE = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|adbox|banner|promo|promotion|sponsor|sponsored|sponsors|nav|navbar|navigation|menu|menubar|breadcrumb|breadcrumbs|sidebar|sidebars|side|aside|complementary|cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|searchbox|share|sharing|social|related|recommended|recommendations|comment|comments|commentlist|disqus|respond|reply|replies|footer|header|masthead|copyright|contentinfo|toolbar|pagination|pager|widget|skip|form)(?:$|[\s_-])", re.I)
+# Words in class, id or role that name what is no article; those of reader comments count on articles too.
+NOISE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adbox", "banner", "promo", "promotion", "sponsor", "sponsored", "sponsors", "nav", "navbar", "navigation", "menu", "menubar", "breadcrumb", "breadcrumbs", "sidebar", "sidebars", "aside", "complementary", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "search", "searchbox", "share", "sharing", "social", "related", "recommended", "recommendations", "footer", "header", "masthead", "copyright", "contentinfo", "toolbar", "pagination", "pager", "widget", "skip", "form"}
+COMMENTS = {"comment", "comments", "commentlist", "disqus", "respond", "reply", "replies"}
+NAMES = re.compile(r"[^\s_-]+")
 MARKED = re.compile(r"(?:^|\s)main(?:$|\s)", re.I)
+#: An element that is noise by its name only, or a form, counts as content if it holds more than this share of the page's text.
+MOST = 0.5
 
 
 class Node:
-    __slots__ = ("tag", "noise", "article", "parts")
+    __slots__ = ("tag", "noise", "named", "article", "parts")
 
-    def __init__(self, tag: str, noise: bool = False, article: bool = False) -> None:
-        self.tag, self.noise, self.article, self.parts = tag, noise, article, []
+    def __init__(self, tag: str, noise: bool = False, named: bool = False, article: bool = False) -> None:
+        self.tag, self.noise, self.named, self.article, self.parts = tag, noise, named, article, []
 
 
 class Tree(HTMLParser):
@@ -68,40 +83,50 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
         self.stack = [self.root]
+        self.open: Counter = Counter()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        names = {n.tag for n in self.stack}
         for closed in CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_P else set()):
-            if closed in names:
-                self._close(closed, SCOPES.get(closed, set()))
-        if tag == "body" and any(n.tag == "head" for n in self.stack):
+            self._close(closed, SCOPES.get(closed, set()))
+        if tag == "body":
             self._close("head", set())
         given = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "itemprop")} if attrs else {}
         marked = tag in ("article", "main") or bool(MARKED.search(given.get("role", ""))) or given.get("itemprop") == "articleBody"
-        noise = tag in DROPPED or "hidden" in given or given.get("aria-hidden") == "true"
-        if given and not noise and tag not in KEPT:
-            noise = any(NOISE.search(given[k]) for k in ("class", "id", "role") if k in given)
-        node = Node(tag, noise, marked and not noise)
+        noise, named = tag in DROPPED or "hidden" in given or given.get("aria-hidden") == "true", tag == "form"
+        if given and not noise and (tag not in KEPT or tag == "article"):
+            words = {w.lower() for k in ("class", "id", "role") if k in given for w in NAMES.findall(given[k])}
+            noise = not words.isdisjoint(COMMENTS)
+            if not noise and tag != "article" and not words.isdisjoint(NOISE):
+                noise = named = True
+        node = Node(tag, noise, named, marked and not noise)
         self.stack[-1].parts.append(node)
         if tag not in VOID:
             self.stack.append(node)
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag in RAW:
-            self.stack.pop()
+            self._cut(len(self.stack) - 1)
 
     def handle_endtag(self, tag: str) -> None:
         self._close(tag, set())
 
     def _close(self, tag: str, scopes: set[str]) -> None:
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                del self.stack[i:]
+                self._cut(i)
                 return
             if self.stack[i].tag in scopes or (self.stack[i].tag in ("article", "main", "body", "table") and tag in INLINE | {"p", "li"}):
                 return
 
+    def _cut(self, i: int) -> None:
+        for node in self.stack[i:]:
+            self.open[node.tag] -= 1
+        del self.stack[i:]
+
     def handle_data(self, data: str) -> None:
         self.stack[-1].parts.append(data)
 
@@ -110,9 +135,34 @@ def parsed(html: str) -> Node:
     tree = Tree()
     tree.feed(html)
     tree.close()
+    _reconsider(tree.root)
     return tree.root
 
 
+def nodes_below(top: Node) -> list[Node]:
+    """top and all elements below it, parents before children."""
+    order, stack = [], [top]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [p for p in reversed(node.parts) if isinstance(p, Node)]
+    return order
+
+
+def _reconsider(root: Node) -> None:
+    """What is noise by its name only, or a form, is content if it holds most of the text outside other noise."""
+    order = nodes_below(root)
+    if not any(n.named for n in order):
+        return
+    size: dict[int, int] = {}
+    for node in reversed(order):
+        own = sum(len(p) - p.count(" ") - p.count("\n") if isinstance(p, str) else size[id(p)] for p in node.parts)
+        size[id(node)] = 0 if node.noise and not node.named else own
+    for node in order:  # from the outside in: what lies in noise goes anyway
+        if node.named and size[id(node)] > MOST * size[id(root)]:
+            node.noise = False
+
+
 def content(root: Node) -> tuple[list[Node], bool]:
     """The outermost marked articles that are no noise, or else the root; and whether they were marked."""
     found, stack = [], [root]
@@ -129,43 +179,37 @@ def visible(node: Node, within: bool) -> bool:
     return not node.noise and (within or node.tag not in EDGES)
 
 
-def subtree_hashes(top: Node) -> dict[bytes, None]:
-    """Hashes of all block subtrees below top with text in them, each once, in order."""
-    out: dict[bytes, None] = {}
-    _hash(top, out)
-    return out
-
-
-def _hash(top: Node, out: dict[bytes, None] | None, marks: dict[int, bytes] | None = None) -> None:
-    order, stack = [], [top]
-    while stack:
-        node = stack.pop()
-        order.append(node)
-        stack += [p for p in node.parts if isinstance(p, Node) and visible(p, False) and not p.article]
-    own: dict[int, tuple[bytes, bool]] = {}
-    for node in reversed(order):
+def digests(root: Node) -> dict[int, bytes]:
+    """The hash of each element's tags and text, raw ones left out, for elements with text in them."""
+    own: dict[int, bytes] = {}
+    for node in reversed(nodes_below(root)):
+        if node.tag in RAW:
+            continue
         h, full = blake2b(node.tag.encode(), digest_size=8), False
         for p in node.parts:
             if isinstance(p, Node):
                 if id(p) in own:
-                    h.update(own[id(p)][0])
-                    full |= own[id(p)][1]
+                    h.update(own[id(p)])
+                    full = True
             elif words := p.split():
                 h.update(" ".join(words).encode("utf-8", "surrogatepass"))
                 full = True
-        own[id(node)] = h.digest(), full
-    for node in order:
-        if own[id(node)][1] and node is not top and node.tag not in INLINE and node.tag not in ("html", "body"):
-            if out is not None:
-                out[own[id(node)][0]] = None
-            if marks is not None:
-                marks[id(node)] = own[id(node)][0]
+        if full:
+            own[id(node)] = h.digest()
+    return own
+
 
+def blocks_of(root: Node) -> tuple[list[str], list[tuple[int, int, int]], bool]:
+    """(texts of the content's blocks in page order; (hash, first block, end) of every element that holds some; marked).
 
-def text_of(tops: list[Node], within: bool, templates: set[bytes]) -> str:
-    """The text of the tops' blocks in page order, joined by one space."""
+    Elements outside the content are listed too, without blocks: they count as
+    their site's, though they go by their own markup.
+    """
+    tops, marked = content(root)
+    hashes = digests(root)
     blocks: list[str] = []
     current: list[str] = []
+    spans: dict[int, tuple[int, int]] = {}
 
     def flush() -> None:
         if words := "".join(current).split():
@@ -173,23 +217,26 @@ def text_of(tops: list[Node], within: bool, templates: set[bytes]) -> str:
         current.clear()
 
     for top in tops:
-        marks: dict[int, bytes] = {}
-        if templates:
-            _hash(top, None, marks)
-        stack: list[Node | str | None] = [top]
+        stack: list[Node | str | tuple[Node, int]] = [top]
         while stack:
             part = stack.pop()
-            if part is None:
+            if isinstance(part, tuple):  # a block element ends
                 flush()
+                if len(blocks) > part[1]:
+                    spans[id(part[0])] = part[1], len(blocks)
             elif isinstance(part, str):
                 current.append(part)
-            elif part is top or (visible(part, within) and marks.get(id(part)) not in templates):
+            elif part is top or visible(part, marked):
                 if part.tag not in INLINE:
                     flush()
-                    stack.append(None)
+                    stack.append((part, len(blocks)))
                 stack += reversed(part.parts)
         flush()
-    return " ".join(blocks)
+    nodes = []
+    for node in nodes_below(root):
+        if id(node) in hashes and node.tag not in INLINE and node.tag not in ("html", "body", "#root") and not any(node is t for t in tops):
+            nodes.append((int.from_bytes(hashes[id(node)], "little", signed=True), *spans.get(id(node), (-1, -1))))
+    return blocks, nodes, marked
 
 
 def host_of(url):
@@ -197,46 +244,41 @@ def host_of(url):
 
 
 def main_text(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE, many: int = MANY_PAGES) -> DataFrame:
-    """page_id, url, text, n_chars of every page."""
-    keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-
-    def make_first():
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            done, hashes, kept, contents = [], [], [], []
-            for html in batch.column("html").to_pylist():
-                root = parsed(html or "")
-                tops, marked = content(root)
-                done.append(text_of(tops, marked, set()))
-                hashes.append([int.from_bytes(h, "little", signed=True) for h in subtree_hashes(root)])
-                same = blake2b(done[-1].encode("utf-8", "surrogatepass"), digest_size=8)
-                same.update(b"".join(h.to_bytes(8, "little", signed=True) for h in hashes[-1]))
-                contents.append(int.from_bytes(same.digest(), "little", signed=True))
-                kept.append(html if hashes[-1] and not marked else None)  # where templates may yet go
-            return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(done, pa.string()), pa.array(kept, pa.string()), pa.array(hashes, pa.list_(pa.int64())), pa.array(contents, pa.int64())], ["page_id", "url", "host", "text", "html", "hashes", "content"])
-
-        return each
-
-    rows = materialise(arrow_map(keyed, make_first, "page_id long, url string, host string, text string, html string, hashes array<long>, content long"), "pages")
-    apart = rows.select("host", "content", "hashes").dropDuplicates(["host", "content"])  # copies of a page count once
+    """page_id, url, text, n_chars, n_templates (elements deleted as their site's) of every page."""
+    keyed = pages.select("page_id", "url", "html", F.xxhash64(host_of(F.col("url"))).alias("host"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 36
+        kinds = [pa.list_(pa.string()), pa.list_(pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("end", pa.int32())])), pa.bool_(), pa.int64()]
+        for whole in batches:
+            for a in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(a, ROWS)
+                out = []
+                for html in batch.column("html").to_pylist():
+                    blocks, nodes, marked = blocks_of(parsed(html or ""))
+                    same = blake2b(b"".join(h.to_bytes(8, "little", signed=True) for h, _, _ in nodes), digest_size=8)
+                    same.update("\n".join(blocks).encode("utf-8", "surrogatepass"))
+                    out.append((blocks, [dict(zip(("hash", "first", "end"), n, strict=True)) for n in nodes], marked, int.from_bytes(same.digest(), "little", signed=True)))
+                size = batch.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array(range(row, row + size), pa.int64()), *batch.select(["page_id", "url", "host"]).columns, *[pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]], ["row", "page_id", "url", "host", "blocks", "nodes", "marked", "content"])
+                row += size
+
+    rows = materialise(keyed.mapInArrow(tidied(run), "row long, page_id long, url string, host long, blocks array<string>, nodes array<struct<hash:long,first:int,end:int>>, marked boolean, content long"), "pages")
+    # distinct contents of a host: copies of a page count once
     of_hosts = rows.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = apart.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    recurring = counts.join(of_hosts, "host").where((F.col("n") >= share * F.col("pages")) | (F.col("n") >= many)).select("host", "hash")
-    open_pages = rows.where(F.col("html").isNotNull()).withColumn("row", F.monotonically_increasing_id())
-    open_pages = materialise(open_pages, "open-pages")  # the row numbers must not change when a task runs again
-    marks = open_pages.select("row", "host", F.explode("hashes").alias("hash")).join(recurring, ["host", "hash"]).groupBy("row").agg(F.collect_set("hash").alias("templates"))
-
-    def make_second():
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = []
-            for html, text, templates in zip(batch.column("html").to_pylist(), batch.column("text").to_pylist(), batch.column("templates").to_pylist(), strict=True):
-                if templates:
-                    tops, marked = content(parsed(html))
-                    text = text_of(tops, marked, {t.to_bytes(8, "little", signed=True) for t in templates})
-                texts.append(text)
-            return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
-
-        return each
-
-    cleaned = arrow_map(open_pages.join(marks, "row", "left").select("page_id", "url", "html", "text", "templates"), make_second, "page_id long, url string, text string")
-    out = rows.where(F.col("html").isNull()).select("page_id", "url", "text").unionByName(cleaned)
-    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    counts = rows.select("host", "content", F.explode(F.array_distinct(F.transform("nodes", lambda n: n["hash"]))).alias("hash")).distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    recurring = counts.join(of_hosts, "host").select("host", "hash", (F.col("n") >= share * F.col("pages")).alias("common"), (F.col("n") >= many).alias("often")).where("common or often")
+    recurring = materialise(recurring, "templates")
+    inside = rows.select("row", "host", "marked", F.explode(F.filter("nodes", lambda n: n["first"] >= 0)).alias("n")).select("row", "host", "marked", "n.*")
+    # within a marked article only what a share of all pages holds is the site's
+    hits = inside.join(recurring, ["host", "hash"]).where("common or not marked").groupBy("row").agg(F.collect_list(F.struct("first", "end")).alias("gone"))
+    hit = rows.select("row", "page_id", "url", "marked", "blocks").join(hits, "row", "left")
+    at = F.transform("blocks", lambda b, i: F.struct(b.alias("b"), F.exists("gone", lambda g: (g["first"] <= i) & (i < g["end"])).alias("gone")))
+    hit = hit.withColumn("at", F.when(F.col("gone").isNotNull(), at))
+    size = lambda which: F.aggregate(F.filter("at", which), F.lit(0), lambda acc, x: acc + F.length(x["b"]))
+    lost, held = size(lambda x: x["gone"]), size(lambda x: ~x["gone"])
+    # templates that hold too much of a page are no templates but its story, as near copies share it
+    acts = F.coalesce(lost <= F.when(F.col("marked"), ARTICLE_LOSS).otherwise(PAGE_LOSS) * (lost + held), F.lit(False))
+    kept = F.when(acts, F.transform(F.filter("at", lambda x: ~x["gone"]), lambda x: x["b"])).otherwise(F.col("blocks"))
+    out = hit.select("page_id", "url", F.array_join(kept, " ").alias("text"), F.when(acts, F.size("gone")).otherwise(0).cast("long").alias("n_templates"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_templates")
