@@ -61,7 +61,7 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
 PAIRS = """pairs AS (SELECT conv_id, turn, text AS src, next_text AS tgt FROM (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user' AND next_role = 'assistant')"""
 SENTENCES = PAIRS + r""", sentences AS (SELECT CAST(conv_id AS VARCHAR) AS file, CAST(turn + 1 AS INT) AS pos, src, tgt FROM pairs WHERE regexp_matches(src, '\p{L}') AND regexp_matches(tgt, '\p{L}'))"""
 LINES = r"""lines AS (SELECT CAST(doc_id AS VARCHAR) AS file, lang || '/' || source AS layer, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos, unnest(string_split(text, chr(10))) AS src FROM documents), good AS (SELECT * FROM lines WHERE regexp_matches(src, '\p{L}'))"""
-TOKENS = r"""w AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(text, '[ \n\t\r]+'), lambda x: x <> '')[1:24] AS ws FROM documents WHERE lang IN ('es', 'fr')), tok AS (SELECT doc_id, lang, i, regexp_replace(ws[i], '^[.,;:!?]+|[.,;:!?]+$', '', 'g') AS base, regexp_replace(ws[i + 1], '^[.,;:!?]+|[.,;:!?]+$', '', 'g') AS span FROM w, unnest(range(1, len(ws))) AS r(i))"""
+TOKENS = r"""w AS (SELECT doc_id, lang, list_filter(regexp_split_to_array(text, '[ \n\t\r]+'), lambda x: x <> '') AS ws FROM documents WHERE lang IN ('es', 'fr')), tok AS (SELECT doc_id, lang, i, regexp_replace(ws[i], '^[.,;:!?]+|[.,;:!?]+$', '', 'g') AS base, regexp_replace(ws[i + 1], '^[.,;:!?]+|[.,;:!?]+$', '', 'g') AS span FROM w, unnest(range(1, len(ws))) AS r(i))"""
 
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -83,7 +83,7 @@ def usable_pairs(spark: SparkSession, d: str) -> DataFrame:
     return _sentences(spark, d).where(text.usable("src", "tgt"))
 
 
-@query(r"""WITH t AS (SELECT lang, CASE WHEN doc_id % 3 = 0 THEN repeat('汉字', CAST(doc_id % 7 AS INT)) || substr(text, 1, 20) ELSE text END AS s FROM documents), r AS (SELECT lang, CASE WHEN length(regexp_replace(s, '[ \t\n\r]', '', 'g')) > 0 THEN length(regexp_replace(s, '[^一-鿿]', '', 'g')) / length(regexp_replace(s, '[ \t\n\r]', '', 'g')) ELSE 0 END AS ratio FROM t) SELECT lang, count(*) AS n, count(*) FILTER (ratio > 0.3) AS n_chinese, round(sum(ratio), 6) AS total FROM r GROUP BY lang""")
+@query(r"""WITH t AS (SELECT lang, CASE WHEN doc_id % 3 = 0 THEN repeat('汉字', CAST(doc_id % 7 AS INT)) || text ELSE text END AS s FROM documents), r AS (SELECT lang, CASE WHEN length(regexp_replace(s, '[ \t\n\r]', '', 'g')) > 0 THEN length(regexp_replace(s, '[^一-鿿]', '', 'g')) / length(regexp_replace(s, '[ \t\n\r]', '', 'g')) ELSE 0 END AS ratio FROM t) SELECT lang, count(*) AS n, count(*) FILTER (ratio > 0.3) AS n_chinese, round(sum(ratio), 6) AS total FROM r GROUP BY lang""")
 def cjk_ratio_stats(spark: SparkSession, d: str) -> DataFrame:
     own = F.when(F.col("doc_id") % 3 == 0, F.concat(F.repeat(F.lit("汉字"), (F.col("doc_id") % 7).cast("int")), F.col("text"))).otherwise(F.col("text"))
     rows = _read(spark, d, "documents").select("lang", text.cjk_ratio(own).alias("ratio"))
@@ -276,7 +276,7 @@ def majority_vote(spark: SparkSession, d: str) -> DataFrame:
     return delivery.majority_vote(rows).select("doc_id", delivery.delivered(F.col("base_tgt"), F.col("span_tgt")).alias("term_tgt_dict"))
 
 
-@query(r"""WITH t AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '“' || substr(text, 1, 12) || '”' WHEN 1 THEN 'l’' || substr(text, 1, 12) WHEN 2 THEN '"' || substr(text, 1, 5) || '"' || substr(text, 6, 4) || '"' ELSE substr(text, 1, 12) END AS s FROM documents WHERE regexp_matches(substr(text, 1, 12), '^[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ .]*[a-zà-ÿ.]\z') AND length(text) > 12) SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN substr(s, 2, 12) WHEN 1 THEN 'l''' || substr(s, 3) ELSE s END AS delivered FROM t""")
+@query(r"""WITH t AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '“' || text || '”' WHEN 1 THEN 'l’' || text WHEN 2 THEN '"' || substr(text, 1, 5) || '"' || substr(text, 6) || '"' ELSE text END AS s FROM documents), a AS (SELECT doc_id, translate(s, '’ʼ՚′＇', repeat(chr(39), 5)) AS s FROM t), b AS (SELECT doc_id, s, substr(s, 2, length(s) - 2) AS body, length(s) > 2 AND regexp_matches(s[1], '["“”«»‘「」„‹›]') AND regexp_matches(s[-1], '["“”«»‘「」„‹›]') AS wrapped FROM a) SELECT doc_id, CASE WHEN wrapped AND NOT regexp_matches(body, '["“”«»‘「」„‹›]') THEN trim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160)) ELSE s END AS delivered FROM b""")
 def delivery_norm(spark: SparkSession, d: str) -> DataFrame:
     m, whole = F.col("doc_id") % 4, F.col("text")
     made = F.when(m == 0, F.concat(F.lit("“"), whole, F.lit("”"))).when(m == 1, F.concat(F.lit("l’"), whole)).when(m == 2, F.concat(F.lit('"'), F.substring("text", 1, 5), F.lit('"'), whole.substr(F.lit(6), F.length("text")), F.lit('"'))).otherwise(whole)
