@@ -7,17 +7,21 @@ vector of the table goes to the list of its nearest centroid, and vectors near
 a boundary also to the lists beyond it, each in another direction (a centroid
 close to one already taken adds nothing and is passed over).  A query
 reads the lists whose centroids are at most `ratio` times as far as the nearest
-one; distances to what they hold are exact, in double precision.
+one, however many these are, and the nearest ones that hold ENOUGH times k
+entries; distances to what they hold are exact, in double precision.  A query
+that still lacks candidates meets all rows, stretch by stretch.
 
 Lists are split into chunks, and a list's queries into blocks, by hash: a vector
 that a third of all rows repeat is dealt over many tasks.  Each task returns its
 nearest for each query; Spark ranks them, before and after the shuffle.
 
+There is a list for each PER_LIST rows up to MOST_LISTS; of larger tables the
+lists grow, and so does what a query reads.
+
 Defined results: vectors that are null, zero, of another length than most, or
 hold null or non-finite components take no part; neither does a null vec_id.
 Rows that repeat a vec_id count once, by the nearest of their vectors; ties go
-to the smaller vec_id; a query with fewer candidates than k gets all that its
-lists hold, and lists are read until they hold many times k or all are read; an
+to the smaller vec_id; a query with fewer candidates than k gets them all; an
 empty table gives an empty result; further columns are ignored.
 """
 
@@ -33,17 +37,18 @@ from pyspark.sql import functions as F
 
 from termloom.llm.common import materialise, only, tidied
 
-#: Rows the centroids are fitted on at most, and most centroids.
-SAMPLE, MOST_LISTS = 20_000, 4096
+#: Rows the centroids are fitted on for each list, most lists, and rows that are taken at least.
+SAMPLE, MOST_LISTS, LEAST_SAMPLE = 8, 16_384, 20_000
 #: Rows of a list on average; neighbours in the graph; lists that a vector may be in, and length of the queue that finds them.
-PER_LIST, DEGREE, COPIES, PLACES = 150, 24, 4, 16
-#: Length of the queue of a query's search: half of the lists, within these bounds.
-QUEUES = 96, 1024
+PER_LIST, DEGREE, COPIES, PLACES = 40, 24, 4, 12
+#: Length of the queue of a query's search; it goes on with twice as many while the queue's last list is still wanted.
+QUEUE = 96
 #: A vector joins, and a query reads, lists up to so many times the nearest's distance; entries that a query's lists hold at least, in multiples of k.
-NEAR, RATIO, ENOUGH = 1.03, 1.20, 40
+NEAR, RATIO, ENOUGH = 1.15, 1.18, 40
 #: Share of the vector's distance that lists of one vector lie apart at least, squared.
 APART = 0.1
-CHUNK, QUERIES = 2000, 500
+#: Entries and queries of a task's matrix, and rows of a stretch where queries meet all rows.
+CHUNK, QUERIES, STRETCH = 2000, 500, 50_000
 
 
 @dataclass
@@ -52,75 +57,116 @@ class Lists:
     graph: np.ndarray
 
     def search(self, x: np.ndarray, queue: int) -> tuple[np.ndarray, np.ndarray]:
-        """(centroids, distances) near each row of x, nearest first; -1 fills up. Best first over the graph."""
+        """(centroids, distances) near each row of x, nearest first; -1 fills up. Best first over the graph, for all rows at once."""
         n, k = len(x), len(self.centroids)
         queue = min(queue, k)
-        entry = np.unique(np.linspace(0, k - 1, 16).astype(int))
+        x = x.astype(np.float32)
+        entry = np.unique(np.linspace(0, k - 1, 16).astype(np.int32))
         seen = np.zeros((n, k), bool)
         seen[:, entry] = True
-        ids = np.broadcast_to(entry, (n, len(entry)))
-        far = self._far(x, ids)
+        norms = (self.centroids**2).sum(axis=1)
+        ids = np.repeat(entry[None, :], n, axis=0)
+        far = norms[ids] - 2 * (x @ self.centroids[entry].T)
         done = np.zeros(ids.shape, bool)
-        for _ in range(4 * queue):
-            open_far = np.where(done, np.inf, far)
-            best = open_far.argmin(axis=1)
-            rows = np.flatnonzero(np.isfinite(open_far[np.arange(n), best]))
-            if not len(rows):
+        at = np.arange(n)
+        while len(at):
+            best = np.where(done[at], np.inf, far[at]).argmin(axis=1)
+            going = ~done[at, best] & np.isfinite(far[at, best])
+            at, best = at[going], best[going]
+            if not len(at):
                 break
-            done[rows, best[rows]] = True
-            new = self.graph[ids[rows, best[rows]]]
-            old = seen[rows[:, None], new]
-            seen[rows[:, None], new] = True
-            more = np.full((n, new.shape[1]), np.inf)
-            more[rows] = np.where(old, np.inf, self._far(x[rows], new))
-            new_ids = np.zeros((n, new.shape[1]), ids.dtype)
-            new_ids[rows] = new
-            far, ids, done = np.hstack([far, more]), np.hstack([ids, new_ids]), np.hstack([done, ~np.isfinite(more)])
-            keep = np.argsort(far, axis=1, kind="stable")[:, :queue]
-            far, ids, done = (np.take_along_axis(a, keep, 1) for a in (far, ids, done))
-        order = np.argsort(far, axis=1, kind="stable")
+            done[at, best] = True
+            new = self.graph[ids[at, best]]
+            fresh = ~seen[at[:, None], new]
+            seen[at[:, None], new] = True
+            more = np.full(new.shape, np.inf, np.float32)
+            row, col = np.nonzero(fresh)
+            which = new[row, col]
+            more[row, col] = norms[which] - 2 * np.einsum("ij,ij->i", x[at[row]], self.centroids[which])
+            if ids.shape[1] < queue:
+                pad = queue - ids.shape[1]
+                ids, far, done = np.pad(ids, ((0, 0), (0, pad))), np.pad(far, ((0, 0), (0, pad)), constant_values=np.inf), np.pad(done, ((0, 0), (0, pad)))
+            all_far = np.hstack([far[at], more])
+            keep = np.argpartition(all_far, ids.shape[1] - 1, axis=1)[:, : ids.shape[1]]
+            far[at] = np.take_along_axis(all_far, keep, 1)
+            ids[at] = np.take_along_axis(np.hstack([ids[at], new]), keep, 1)
+            done[at] = np.take_along_axis(np.hstack([done[at], np.zeros(new.shape, bool)]), keep, 1)
+        order = np.argsort(far, axis=1, kind="stable")[:, :queue]
         far, ids = np.take_along_axis(far, order, 1), np.take_along_axis(ids, order, 1)
-        return np.where(np.isfinite(far), ids, -1), far
+        fine = np.isfinite(far)
+        far = np.sqrt(np.maximum(0, np.where(fine, far, 0) + (x**2).sum(axis=1)[:, None]))
+        return np.where(fine, ids, -1), np.where(fine, far, np.inf)
 
-    def _far(self, x: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        return np.sqrt(((self.centroids[ids] - x[:, None, :]) ** 2).sum(axis=2))
+    def wanted(self, x: np.ndarray, ratio: float, held: np.ndarray, least: int, queue: int = QUEUE) -> tuple[np.ndarray, np.ndarray]:
+        """(row of x, list) of all lists within `ratio` of the nearest, and of the nearest that hold `least` entries together."""
+        rows, lists, todo = [], [], np.arange(len(x))
+        while len(todo):
+            ids, far = self.search(x[todo], queue)
+            count = np.where(ids >= 0, held[ids], 0)
+            before = np.cumsum(count, axis=1) - count
+            take = (ids >= 0) & ((far <= ratio * far[:, :1]) | (before < least))
+            # where the queue ends with a wanted list there may be more
+            short = take[:, -1] & (queue < len(self.centroids))
+            at, place = np.nonzero(take & ~short[:, None])
+            rows.append(todo[at])
+            lists.append(ids[at, place])
+            todo, queue = todo[short], 2 * queue
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *rows]), np.concatenate([none, *lists])
 
 
-def fit(x: np.ndarray, k: int, seed: int = 5, rounds: int = 10) -> Lists:
+def clustered(x: np.ndarray, k: int, seed: int = 5, rounds: int = 10) -> np.ndarray:
+    """At most k centroids, by k-means whose distances grow with a list's size."""
     rng = np.random.default_rng(seed)
     x = x.astype(np.float32)
     unique = np.unique(x, axis=0)
     k = max(1, min(k, len(unique)))
     c = unique[rng.choice(len(unique), k, replace=False)]
-    load = np.zeros(k)
+    load = np.zeros(k, np.float32)
     for _ in range(rounds):
-        far = (x**2).sum(1)[:, None] - 2 * x @ c.T + (c**2).sum(1)[None, :]
-        own = (far * (1 + 0.1 * load / max(1.0, len(x) / k))[None, :]).argmin(axis=1)
+        penalty = 1 + 0.01 * load / np.float32(max(1.0, len(x) / k))
+        norms, own = (c**2).sum(1), np.empty(len(x), np.int64)
+        for a in range(0, len(x), 4096):
+            part = x[a : a + 4096]
+            own[a : a + 4096] = (((part**2).sum(1)[:, None] - 2 * part @ c.T + norms) * penalty).argmin(axis=1)
         count = np.bincount(own, minlength=k)
-        load = 0.5 * load + 0.5 * count
-        total = np.zeros_like(c)
-        np.add.at(total, own, x)
-        c = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], unique[rng.integers(0, len(unique), k)]).astype(np.float32)
-    far = (c**2).sum(1)[:, None] - 2 * c @ c.T + (c**2).sum(1)[None, :]
-    np.fill_diagonal(far, -np.inf)
-    near = np.argsort(far, axis=1)[:, 1 : DEGREE + 1] if k > 1 else np.zeros((1, 1), int)
-    ring = np.roll(np.arange(k), -1)[:, None]  # so that every centroid can be reached
-    return Lists(c.astype(np.float64), np.hstack([near, ring]))
-
-
-def places(lists: Lists, x: np.ndarray) -> list[np.ndarray]:
-    """The lists of each vector: the nearest, and those near a boundary in other directions."""
+        load = (0.5 * load + 0.5 * count).astype(np.float32)
+        order = np.argsort(own, kind="stable")
+        full = np.flatnonzero(count)
+        new = unique[rng.integers(0, len(unique), k)]
+        new[full] = np.add.reduceat(x[order], np.cumsum(count)[full] - count[full], axis=0) / count[full][:, None]
+        c = new.astype(np.float32)
+    return c
+
+
+def fit(x: np.ndarray, k: int, seed: int = 5, rounds: int = 10) -> Lists:
+    c = clustered(x, k, seed, rounds)
+    k = len(c)
+    near = np.zeros((k, min(DEGREE, k - 1)), np.int32)
+    for a in range(0, k, 1024):
+        part = c[a : a + 1024]
+        far = (c**2).sum(1)[None, :] - 2 * part @ c.T
+        far[np.arange(len(part)), np.arange(a, a + len(part))] = -np.inf
+        near[a : a + 1024] = np.argsort(far, axis=1)[:, 1 : DEGREE + 1]
+    ring = np.roll(np.arange(k, dtype=np.int32), -1)[:, None]  # so that every centroid can be reached
+    return Lists(c, np.hstack([near, ring]))
+
+
+def places(lists: Lists, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of x, list): the nearest list of each vector, and those near a boundary in other directions."""
     ids, far = lists.search(x, PLACES)
-    out = []
-    for own, d in zip(ids, far, strict=True):
-        taken = [own[0]]
-        for c, r in zip(own[1:], d[1:], strict=True):
-            if c < 0 or r > NEAR * d[0] or len(taken) == COPIES:
-                break
-            if all(((lists.centroids[c] - lists.centroids[t]) ** 2).sum() > APART * r * r for t in taken):
-                taken.append(c)
-        out.append(np.array(taken))
-    return out
+    taken = np.zeros(ids.shape, bool)
+    taken[:, 0] = True
+    for j in range(1, ids.shape[1]):
+        ok = (ids[:, j] >= 0) & (far[:, j] <= NEAR * far[:, 0]) & (taken.sum(axis=1) < COPIES)
+        own = lists.centroids[ids[:, j]]
+        for t in range(j):
+            rows = np.flatnonzero(ok & taken[:, t])
+            between = ((own[rows] - lists.centroids[ids[rows, t]]) ** 2).sum(axis=1)
+            ok[rows] &= between > APART * far[rows, j] ** 2
+        taken[:, j] = ok
+    at, place = np.nonzero(taken)
+    return at, ids[at, place]
 
 
 def usable(v: Column) -> Column:
@@ -142,85 +188,117 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, ratio: float = RAT
         return spark.createDataFrame([], schema)
     dim, n = sizes[0]["d"], sizes[0]["count"]
     rows = rows.where(F.size("embedding") == dim)
-    share = int(min(1.0, SAMPLE / n) * 1_000_000) + 1
-    chosen = rows.where(F.pmod(F.xxhash64(F.lit("centroids"), "vec_id"), F.lit(1_000_000)) < share).limit(SAMPLE).select("vec_id", "embedding").toArrow().sort_by("vec_id")
-    lists = fit(_matrix(chosen["embedding"].combine_chunks(), dim), max(1, min(MOST_LISTS, n // PER_LIST)))
+    k_lists = max(1, min(MOST_LISTS, n // PER_LIST))
+    sample = max(LEAST_SAMPLE, SAMPLE * k_lists)
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("centroids"), "vec_id"), 1)
+    share = rows if n <= sample else rows.where(place < int(1.1 * sample / n * (1 << 63)))
+    # the sample doesn't depend on the order of rows: those that come first by hash, of a few more than are wanted
+    chosen = share.orderBy(place, "vec_id", "embedding").limit(sample).select("vec_id", "embedding").toArrow()
+    lists = fit(_matrix(chosen["embedding"].combine_chunks(), dim), k_lists)
     shared = spark.sparkContext.broadcast((lists.centroids, lists.graph))  # MOST_LISTS centroids at most
+    kind = vectors.schema["embedding"].dataType.simpleString()
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = Lists(*shared.value)
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                some = batch.slice(a, 1000)
-                own = places(lists, _matrix(some.column("embedding"), dim))
-                at = np.repeat(np.arange(len(own)), [len(o) for o in own])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own), pa.int32()), some.column("vec_id").take(pa.array(at)), some.column("embedding").take(pa.array(at))], ["list", "id", "v"])
+            for a in range(0, batch.num_rows, 2000):
+                some = batch.slice(a, 2000)
+                at, own = places(lists, _matrix(some.column("embedding"), dim))
+                at = pa.array(at)
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), some.column("vec_id").take(at), some.column("embedding").take(at)], ["list", "id", "v"])
 
-    kind = vectors.schema["embedding"].dataType.simpleString()
     posted = materialise(rows.mapInArrow(tidied(post), f"list int, id long, v {kind}"), "postings")
-    held = {r["list"]: r["count"] for r in posted.groupBy("list").count().collect()}  # one entry a list
-    count = spark.sparkContext.broadcast(np.array([held.get(i, 0) for i in range(len(lists.centroids))]))
-    least = ENOUGH * k
-    queue = min(QUEUES[1], max(QUEUES[0], len(lists.centroids) // 2))
+    sizes = posted.groupBy("list").agg(F.count(F.lit(1)).alias("n"))  # one row a list
+    held = np.zeros(len(lists.centroids), np.int64)
+    for r in sizes.collect():
+        held[r["list"]] = r["n"]
+    count = spark.sparkContext.broadcast(held)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = Lists(*shared.value)
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 some = batch.slice(a, 1000)
-                ids, far = lists.search(_matrix(some.column("embedding"), dim), queue)
-                before = np.cumsum(np.where(ids >= 0, count.value[ids], 0), axis=1) - np.where(ids >= 0, count.value[ids], 0)
-                take = (ids >= 0) & ((far <= ratio * far[:, :1]) | (before < least))
-                at, place = np.nonzero(take)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at, place], pa.int32()), some.column("vec_id").take(pa.array(at)), some.column("embedding").take(pa.array(at))], ["list", "id", "v"])
+                at, own = lists.wanted(_matrix(some.column("embedding"), dim), ratio, count.value, ENOUGH * k)
+                at = pa.array(at)
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), some.column("vec_id").take(at), some.column("embedding").take(at)], ["list", "id", "v"])
 
     asked = materialise(rows.where(queries).mapInArrow(tidied(probe), f"list int, id long, v {kind}"), "probes")
-    busy = {r["list"]: r["count"] for r in asked.groupBy("list").count().collect()}
-    if not busy:
-        return spark.createDataFrame([], schema)
-    parts = lambda counts, size: F.element_at(F.array(*[F.lit(max(1, -(-counts.get(i, 0) // size))) for i in range(len(lists.centroids))]), F.col("list") + 1)
-    chunk, block = parts(held, CHUNK), parts(busy, QUERIES)
+    found = _compared(posted, asked, dim, k)
+    found = materialise(found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")), "found")
+    # queries whose lists hold too few others meet all rows, stretch by stretch: none in a table of any size, unless ids repeat
+    enough = found.groupBy("query_id").count().where(F.col("count") >= k).select("query_id")
+    short = rows.where(queries).join(enough, F.col("vec_id") == F.col("query_id"), "left_anti").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    short = materialise(short, "short")
+    if not short.isEmpty():
+        stretches = max(1, -(-n // STRETCH))
+        every = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(stretches)).cast("int").alias("list"), F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+        again = short.select(F.explode(F.sequence(F.lit(0), F.lit(stretches - 1))).alias("list"), "id", "v")
+        found = found.unionByName(_compared(every, again, dim, k)).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def closest(ids: np.ndarray, vectors: np.ndarray, own: int, query: np.ndarray, near: np.ndarray, k: int) -> list[tuple[int, float]]:
+    """The k nearest different ids but own, ties to the smaller; near: places of those that can be among them, or more."""
+    near = near[ids[near] != own]
+    far = np.sqrt(((vectors[near] - query) ** 2).sum(axis=1))
+    out: dict[int, float] = {}
+    for j in np.lexsort((ids[near], far)):
+        out.setdefault(int(ids[near[j]]), float(far[j]))
+        if len(out) == k:
+            break
+    return list(out.items())
+
+
+def _compared(left: DataFrame, right: DataFrame, dim: int, k: int) -> DataFrame:
+    """query_id, vec_id, score: for each query (right: list, id, v) the k nearest of each list's entries (left).
+
+    Lists are dealt into chunks and their queries into blocks, by hash.
+    """
+    keys = ["list", "chunk", "block"]
+    parts = lambda df, size, name: df.groupBy("list").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / size)).cast("int").alias(name))
+    plan = materialise(parts(left, CHUNK, "chunks").join(parts(right, QUERIES, "blocks"), "list"), "list-parts")  # one row a list
     dealt = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = posted.where(F.col("list").isin(list(busy))) if len(busy) < len(held) else posted
-    left = left.select("list", dealt(chunk).alias("chunk"), block.alias("n"), "id", "v").select("list", "chunk", every(F.col("n")).alias("block"), F.lit(0).alias("side"), "id", "v")
-    right = asked.select("list", dealt(block).alias("block"), chunk.alias("n"), "id", "v").select("list", every(F.col("n")).alias("chunk"), "block", F.lit(1).alias("side"), "id", "v")
-    keys = ["list", "chunk", "block"]
+    entries = left.join(F.broadcast(plan), "list").select("list", dealt(F.col("chunks")).alias("chunk"), every(F.col("blocks")).alias("block"), F.lit(0).alias("side"), "id", "v")
+    asking = right.join(F.broadcast(plan), "list").select("list", every(F.col("chunks")).alias("chunk"), dealt(F.col("blocks")).alias("block"), F.lit(1).alias("side"), "id", "v")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, vs, out = None, [], [], []
-        matrix = None
+        key, held, waiting = None, [], []
         for batch in batches:
             x = _matrix(batch.column("v"), dim)
-            columns = [batch.column(c).to_pylist() for c in (*keys, "side", "id")]
-            for i, (a, b, c, side, own) in enumerate(zip(*columns, strict=True)):
-                if (a, b, c) != key:
-                    key, ids, vs, matrix = (a, b, c), [], [], None
-                if side == 0:
-                    ids.append(own)
-                    vs.append(x[i])
-                elif ids:
-                    if matrix is None:
-                        matrix, names = np.array(vs), np.array(ids)
-                    d = np.sqrt(((matrix - x[i]) ** 2).sum(axis=1))
-                    near: dict[int, float] = {}
-                    for j in np.lexsort((names, d)):
-                        if names[j] != own:
-                            near.setdefault(int(names[j]), float(d[j]))
-                            if len(near) == k:
-                                break
-                    out += [(own, j, far) for j, far in near.items()]
-            if len(out) > 20_000:
-                yield rows_of(out)
-                out = []
-        if out:
-            yield rows_of(out)
-
-    def rows_of(out: list[tuple]) -> pa.RecordBatch:
-        q, v, s = zip(*out, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())], ["query_id", "vec_id", "score"])
-
-    found = left.unionByName(right).repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(tidied(compare), "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+            lists, chunks, blocks, side, ids = (np.asarray(batch.column(c)) for c in (*keys, "side", "id"))
+            new = np.flatnonzero(np.concatenate(([True], (lists[1:] != lists[:-1]) | (chunks[1:] != chunks[:-1]) | (blocks[1:] != blocks[:-1]))))
+            for a, b in zip(new.tolist(), [*new[1:].tolist(), len(ids)], strict=True):
+                if (own := (lists[a], chunks[a], blocks[a])) != key:
+                    yield from answers(held, waiting)
+                    key, held, waiting = own, [], []
+                for s, where in ((0, held), (1, waiting)):
+                    rows = a + np.flatnonzero(side[a:b] == s)
+                    if len(rows):
+                        where.append((ids[rows], x[rows]))
+        yield from answers(held, waiting)
+
+    def answers(held: list, waiting: list) -> Iterator[pa.RecordBatch]:
+        if not held or not waiting:
+            return
+        (ids, vectors), (asked, queries) = ([np.concatenate(c) for c in zip(*part, strict=True)] for part in (held, waiting))
+        norms = (vectors**2).sum(axis=1)
+        for a in range(0, len(asked), QUERIES):
+            q = queries[a : a + QUERIES]
+            rough = norms[None, :] - 2 * q @ vectors.T
+            m = min(k + 1, len(ids))
+            # all that rounding could put among the k nearest others; the distances themselves come from the vectors
+            edge = np.partition(rough, m - 1, axis=1)[:, m - 1] + 1e-9 * (norms.max() + (q**2).sum(axis=1))
+            out = []
+            for i, own in enumerate(asked[a : a + QUERIES].tolist()):
+                best = closest(ids, vectors, own, q[i], np.flatnonzero(rough[i] <= edge[i]), k)
+                if len(best) < k and m < len(ids):  # ids repeat
+                    best = closest(ids, vectors, own, q[i], np.arange(len(ids)), k)
+                out += [(own, j, far) for j, far in best]
+            if out:
+                q_ids, v_ids, scores = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(q_ids, pa.int64()), pa.array(v_ids, pa.int64()), pa.array(scores, pa.float64())], ["query_id", "vec_id", "score"])
+
+    return entries.unionByName(asking).repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(tidied(compare), "query_id long, vec_id long, score double")

@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from termloom.llm import ann
 from termloom.llm.ann import nearest
 
 
@@ -36,3 +37,44 @@ def test_small_and_empty(spark):
     assert nearest(spark.createDataFrame([], kind), F.lit(True)).count() == 0
     rows = nearest(spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0])], kind), F.col("vec_id") == 0).collect()
     assert sorted((r["rank"], r.vec_id) for r in rows) == [(1, 1), (2, 2)]
+
+
+def test_some_hundred_lists(spark):
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(150, 24))
+    x = (centers[rng.integers(0, 150, 12_000)] + 0.25 * rng.normal(size=(12_000, 24))).astype(np.float32).astype(np.float64)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(d, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q in range(0, 12_000, 100):
+        far = ((x - x[q]) ** 2).sum(1)
+        far[q] = np.inf
+        hit += len(got[q] & set(np.argpartition(far, 10)[:10].tolist()))
+    assert hit >= 0.95 * 1200
+    # what was read for it: the same lists, made here
+    lists = ann.fit(x, 12_000 // ann.PER_LIST)
+    at, own = ann.places(lists, x)
+    held = np.bincount(own, minlength=len(lists.centroids))
+    _, read = lists.wanted(x[::100], ann.RATIO, held, ann.ENOUGH * 10)
+    assert len(lists.centroids) == 300 and held[read].sum() < 0.1 * 120 * 12_000
+
+
+def test_search_goes_on_while_lists_are_wanted():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 3))
+    lists = ann.fit(x, 100)
+    held = np.bincount(ann.places(lists, x)[1], minlength=100)
+    for ratio, least in ((1e9, 0), (0.0, 10**9)):
+        rows, own = lists.wanted(x[:5], ratio, held, least, queue=2)
+        assert sorted(zip(rows.tolist(), own.tolist(), strict=True)) == [(i, j) for i in range(5) for j in range(len(lists.centroids))]
+
+
+def test_queries_short_of_candidates_meet_all_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = [(0, [0.0, 0.0, 1.0])] * 3000  # one id fills the nearest lists
+    rows += [(i, v.tolist()) for i, v in enumerate(5 + rng.normal(size=(40, 3)), 1)]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+    far = sorted((float(np.sqrt(((np.array(v) - [0.0, 0.0, 1.0]) ** 2).sum())), i) for i, v in rows if i)[:10]
+    assert [(r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == far
