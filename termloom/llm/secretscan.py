@@ -29,6 +29,7 @@ import math
 import re
 from collections import Counter
 from hashlib import sha256
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -140,19 +141,26 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, int, st
         for kind, pattern in (("access", ACCESS), ("hex", HEX)):
             base += [(kind, x.start(), x.end()) for x in pattern.finditer(text, *m.span()) if x.end() - x.start() >= LEAST[kind]]
     base.sort(key=lambda s: (s[1], KINDS.index(s[0])))
+    ended = list(accumulate((b for _, _, b in base), max))  # where all spans so far have ended
+    first = 0  # base spans before it end before the run; both lists are in order
     for m in runs:
-        for a, b in outside(m.start(), m.end(), base):
+        while first < len(base) and ended[first] <= m.start():
+            first += 1
+        for a, b in outside(m.start(), m.end(), base, first):
             for x in PADDED.finditer(text, a, b):
                 if x.end() - x.start() >= SHORTEST:
                     tested += tests_of(text, *x.span())
     return base, tested
 
 
-def outside(start: int, end: int, base: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """The stretches of start to end that no base span covers; base is in order of starts."""
+def outside(start: int, end: int, base: list[tuple[str, int, int]], first: int) -> list[tuple[int, int]]:
+    """The stretches of start to end that no base span from number `first` on covers; base is in order of starts."""
     out = []
-    for _, a, b in base:
-        if a < end and start < b:
+    for i in range(first, len(base)):
+        _, a, b = base[i]
+        if a >= end:
+            break
+        if start < b:
             if a > start:
                 out.append((start, a))
             start = max(start, b)

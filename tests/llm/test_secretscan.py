@@ -83,3 +83,25 @@ def test_documents(spark, edge, empty):
     out = {r.doc_id: r for r in s.redact(d).collect()}
     assert out[1].text == "[secret] ok" and out[1].n_chars == 11 and out[2].text is None and out[3].text == "clean"
     assert s.redact(d).columns == d.columns
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    import time
+
+    seconds = []
+    for n in (4000, 32_000):
+        text = " ".join(f"token={i:08d} run{i:020d}abc" for i in range(n))
+        began = time.monotonic()
+        base, _ = s.scan(text)
+        seconds.append(time.monotonic() - began)
+        assert len(base) == n
+    assert seconds[1] < 24 * seconds[0] + 1
+
+
+def test_tested_runs_lie_outside_base_spans():
+    rng = random.Random(12)
+    for _ in range(300):
+        text = "".join(rng.choice(["token=", "secret: ", "AKIA", " ", "0123456789abcdef" * 2, "aZ9/x+Q" * 4, "=", "-", "QWERTY1234567890ABCD"]) for _ in range(rng.randrange(1, 12)))
+        base, tested = s.scan(text)
+        covered = {i for _, a, b in base for i in range(a, b)}
+        assert all(covered.isdisjoint(range(a, b)) and b - a >= 20 for a, b, _, _ in tested)
