@@ -94,7 +94,7 @@ def features(docs: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit("[A-Z]")).cast("long").alias("upper"),
         F.regexp_count("text", F.lit("[0-9]")).cast("long").alias("digit"),
         F.regexp_count("text", F.lit(r"[.,;:!?()\"'/_-]")).cast("long").alias("mark"),
-        (F.octet_length("text") - F.length("text")).cast("long").alias("wide"),
+        F.length(F.regexp_replace("text", r"[\x00-\x7F]+", "")).cast("long").alias("wide"),
     )
     own = F.array().cast("array<string>")
     for lang, listed in COMMON.items():

@@ -65,3 +65,60 @@ def test_distance(spark):
 def test_plan_has_no_python(spark, mixed_docs, capsys):
     quality(mixed_docs).explain("formatted")
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
+
+
+def test_verdicts_match_brute_force(spark):
+    import math
+    import random
+
+    from termloom.llm import quality as q
+
+    rng = random.Random(8)
+    other = lambda: "".join(rng.choice("abcdeghilmnorst") for _ in range(rng.randrange(2, 9)))
+    rows = []
+    for i in range(240):
+        lang = rng.choice(["en", "fr", "xx", None])
+        share = rng.choice([0.3, 0.3, 0.3, 0.25, 0.0])
+        words = [rng.choice(q.COMMON.get(lang, ["zz"])) if rng.random() < share else other() for _ in range(rng.choice([5, 60, 90, 150, 400]))]
+        text = " ".join(words).capitalize() + rng.choice([".", "!?", " 漢字é" * rng.randrange(40), " #$%" * rng.randrange(200)])
+        rows.append((i, text, lang))
+
+    def histograms(text, lang):
+        w = re.findall("[^\x20\x09-\x0d]+", text)
+        n = lambda p: len(re.findall(p, text))
+        counts = [len(text) - sum(map(len, w)), n("[A-Z]"), n("[0-9]"), n("[#*$%&|<>]"), n(r"[.,;:!?()\"'/_-]"), sum(ord(c) > 127 for c in text)]
+        own = Counter(w)
+        common = [own[v] for v in q.COMMON.get(lang, [])]
+        chars = [*counts, max(0, len(text) - sum(counts))]
+        return len(w), [c / max(1, sum(chars)) for c in chars], [c / max(1, len(w)) for c in [*common, len(w) - sum(common)]]
+
+    def far(p, r):
+        part = lambda x, m: x * math.log2(x / m) if x > 0 else 0.0
+        return math.sqrt(max(0.0, sum((part(x, (x + y) / 2) + part(y, (x + y) / 2)) / 2 for x, y in zip(p, r, strict=True))))
+
+    docs = {i: (*histograms(t, lang or ""), len(t), lang or "", len(re.findall("[^\x20\x09-\x0d]+", t)) < 10 or 100 * brute(t)[4] > 20 * brute(t)[0]) for i, t, lang in rows}
+    references, spreads = {}, {}
+    for lang in ("en", "fr", "xx", ""):
+        steady = [d for d in docs.values() if d[4] == lang and not d[5] and d[3] >= q.GUARD_CHARS and d[0] >= q.GUARD_WORDS]
+        references[lang] = [[sum(d[k][i] for d in steady) / len(steady) for i in range(len(steady[0][k]))] for k in (1, 2)]
+    unit = lambda d: 1 / (8 * math.log(2) * d[0])
+    for lang, (_, words) in references.items():
+        beyond = sorted(math.sqrt(max(0.0, far(d[2], words) ** 2 - (len(words) - 1) * unit(d))) for d in docs.values() if d[4] == lang and not d[5] and d[3] >= q.GUARD_CHARS and d[0] >= q.GUARD_WORDS)
+        at = lambda p: beyond[max(0, math.ceil(p * len(beyond)) - 1)]
+        spreads[lang] = at(0.5) + q.SPREAD * (at(0.75) - at(0.25)) / 1.349
+    want = {}
+    for i, d in docs.items():
+        chars, words = references[d[4]]
+        ok = not d[5]
+        if d[3] >= q.GUARD_CHARS:
+            ok &= far(d[1], chars) <= q.CHAR_LIMIT
+        if d[0] >= q.GUARD_WORDS:
+            limit = q.WORD_LIMIT
+            if d[0] * (1 - words[-1]) >= q.GUARD_COMMON:
+                free = len(words) - 1
+                limit = min(limit, math.sqrt(spreads[d[4]] ** 2 + (free + q.COUNTING * math.sqrt(2 * free)) * unit(d)), q.SHORT_OF * far([0.0] * free + [1.0], words))
+            ok &= far(d[2], words) <= limit
+        want[i] = ok
+    got = {r.doc_id: r.kept for r in quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got == want and len(set(want.values())) == 2
+    assert any(not want[i] and not docs[i][5] and far(docs[i][1], references[docs[i][4]][0]) <= q.CHAR_LIMIT for i in docs)  # words alone reject some
