@@ -14,10 +14,11 @@ Everything is made of DataFrame functions.  The order within a source comes from
 sums over hashed blocks of bounded size and sums over those blocks, so a source
 with a third of all rows is dealt over as many tasks as its size asks for.
 
-Defined results: a null source is the source ''; a null text has no tokens; a
+Defined results: a null source is a source of its own; a null text has no tokens; a
 source without any token gets no weight, and its documents are drawn once if
 `cover`, else never; repeated rows are drawn as rows of their own; equal hashes
-are ordered by doc_id; an empty table gives an empty result; further columns are
+are ordered by doc_id; a budget beyond the repetition limit, which no exponent can
+keep, is refused; very long texts count whole; an empty table gives an empty result; further columns are
 ignored, or carried along by `mixed`.
 """
 
@@ -74,6 +75,8 @@ def quotas(totals: DataFrame, budget: float, entropy: float | None, repeats: flo
 
     totals: source, total, docs; a row for each source, which is what comes together here.
     """
+    if repeats is not None and not cover and budget > repeats:
+        raise ValueError(f"a budget of {budget} passes repeats sources {budget} times on average, over the limit of {repeats}")
     one = totals.agg(F.array_sort(F.collect_list(F.struct("source", "total", "docs"))).alias("all"))
     one = one.withColumn("sum", _total(F.col("all"), lambda x: x["total"].cast("double")))
     one = one.withColumn("shares", F.transform(F.filter("all", lambda x: x["total"] > 0), lambda x: x["total"] / F.col("sum")))
@@ -93,20 +96,28 @@ def quotas(totals: DataFrame, budget: float, entropy: float | None, repeats: flo
     return rows.select("source", "total", "docs", "weight", "quota", "passes", (F.col("quota") - F.col("passes") * F.col("total")).alias("rest"), blocks.alias("blocks"), F.greatest(F.lit(1.0), F.ceil(F.col("tokens") / MIX_TOKENS).cast("double")).cast("int").alias("mix_blocks"))
 
 
+def _named(source: Column) -> Column:
+    """A source as a key that tells a null from every string."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
 def _draws(rows: DataFrame, plan: DataFrame, seed: int, carried: list[str]) -> DataFrame:
-    """rows (key, source, tokens, and carried columns) with a row for each draw: pass, block."""
-    rows = rows.join(plan, "source").withColumn("u", unit(F.lit(seed), F.col("passes"), F.col("key")))
+    """rows (key, salt, source, tokens, and carried columns) with a row for each draw: pass, block.
+
+    salt tells apart rows that share a key, so they are dealt over blocks too.
+    """
+    rows = rows.join(plan, "source").withColumn("u", unit(F.lit(seed), F.col("passes"), F.col("key"), F.col("salt")))
     rows = rows.withColumn("part", F.floor(F.col("u") * F.col("blocks")).cast("int"))
     sums = rows.groupBy("source", "part").agg(F.sum("tokens").alias("n"))
     before = sums.select("source", "part", (F.sum("n").over(Window.partitionBy("source").orderBy("part")) - F.col("n")).alias("before"))
-    inside = F.sum("tokens").over(Window.partitionBy("source", "part").orderBy("u", "key", "tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("tokens")
+    inside = F.sum("tokens").over(Window.partitionBy("source", "part").orderBy("u", "key", "salt", "tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("tokens")
     rows = rows.withColumn("inside", inside).join(before, ["source", "part"]).withColumn("at", F.col("before") + F.col("inside"))
     times = F.col("passes") + F.when(F.col("at") < F.col("rest"), 1).otherwise(0)
     rows = rows.where(times > 0).withColumn("pass", F.explode(F.sequence(F.lit(0), times - 1)))
     # a whole pass has its own order; the partial one that of the cut
-    place = F.when(F.col("pass") < F.col("passes"), (F.col("pass") + unit(F.lit(seed + 1), F.col("pass"), F.col("key"))) * F.col("total")).otherwise(F.col("passes") * F.col("total") + F.col("at"))
+    place = F.when(F.col("pass") < F.col("passes"), (F.col("pass") + unit(F.lit(seed + 1), F.col("pass"), F.col("key"), F.col("salt"))) * F.col("total")).otherwise(F.col("passes") * F.col("total") + F.col("at"))
     block = F.least(F.col("mix_blocks") - 1, F.floor(place / F.greatest("quota", F.lit(1)) * F.col("mix_blocks")).cast("int"))
-    return rows.withColumn("block", block).select("key", "source", "tokens", "weight", "pass", "block", *carried)
+    return rows.withColumn("block", block).select("key", "salt", "source", "tokens", "weight", "pass", "block", *carried)
 
 
 def mixture(docs: DataFrame, budget: float = 1.0, entropy: float | None = None, repeats: float | None = 4.0, cover: bool = False, seed: int = 11) -> DataFrame:
@@ -115,12 +126,13 @@ def mixture(docs: DataFrame, budget: float = 1.0, entropy: float | None = None,
     budget: tokens to draw, in passes over the corpus; entropy (bits) or repeats:
     the target.  cover: take the least budget that draws every document once.
     """
-    rows = materialise(docs.select(F.col("doc_id").alias("key"), F.coalesce("source", F.lit("")).alias("source"), tokens_of(F.col("text")).alias("tokens")), "tokens")
+    rows = docs.select(F.col("doc_id").alias("key"), _named(F.col("source")).alias("source"), tokens_of(F.col("text")).alias("tokens"), F.monotonically_increasing_id().alias("salt"))
+    rows = materialise(rows, "tokens")  # row numbers must not change when a task runs again
     totals = rows.groupBy("source").agg(F.sum("tokens").alias("total"), F.count(F.lit(1)).alias("docs"))
     plan = materialise(quotas(totals, budget, entropy, repeats, cover), "quotas")
     drawn = _draws(rows, plan, seed, [])
-    order = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed + 2), "key", "pass"), "key", "pass", "tokens")
-    return drawn.select(F.col("key").alias("doc_id"), "source", F.col("tokens").alias("n_tokens"), "weight", "pass", "block", F.row_number().over(order).alias("position"))
+    order = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed + 2), "key", "salt", "pass"), "key", "salt", "pass", "tokens")
+    return drawn.select(F.col("key").alias("doc_id"), F.when(F.col("source") != "", F.expr("substring(source, 2)")).alias("source"), F.col("tokens").alias("n_tokens"), "weight", "pass", "block", F.row_number().over(order).alias("position"))
 
 
 def mixed(docs: DataFrame, repeats: float = 2.0, seed: int = 11) -> DataFrame:
@@ -128,7 +140,7 @@ def mixed(docs: DataFrame, repeats: float = 2.0, seed: int = 11) -> DataFrame:
 
     All columns are carried as they are.
     """
-    rows = docs.select(F.col("doc_id").alias("key"), F.coalesce("source", F.lit("")).alias("source"), tokens_of(F.col("text")).alias("tokens"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = docs.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("salt"), _named(F.col("source")).alias("source"), tokens_of(F.col("text")).alias("tokens"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     totals = rows.groupBy("source").agg(F.sum("tokens").alias("total"), F.count(F.lit(1)).alias("docs"))
     plan = materialise(quotas(totals, 1.0, None, repeats, True), "quotas")
     # the texts go along to their hashed block, one shuffle; a join by doc_id would need one too and could not tell repeated rows apart

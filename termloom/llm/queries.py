@@ -44,7 +44,7 @@ def op4_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from termloom.llm.mixing import mixture
 
-    return mixture(table(spark, sf_dir, "documents"), budget=1.0, repeats=4.0)
+    return mixture(table(spark, sf_dir, "documents"), budget=1.0, repeats=1.5)
 
 
 def op6_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,3 +55,54 @@ def test_documents(spark, edge, empty):
 def test_plan_has_no_python(spark, capsys):
     mixture(skewed(spark)).explain("formatted")
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
+
+
+@pytest.mark.parametrize("kw", [{"repeats": 1.3}, {"budget": 2.0, "repeats": 2.4}, {"entropy": 1.9, "repeats": None}, {"repeats": 2.0, "cover": True}])
+def test_weights_and_quotas_match_brute_force(spark, kw):
+    d = skewed(spark)
+    own = {}
+    for r in d.collect():
+        own[r.source] = own.get(r.source, 0) + len(r.text.split())
+    total, budget = sum(own.values()), kw.get("budget", 1.0)
+    share = {s: n / total for s, n in own.items()}
+
+    def weights(a):
+        power = sum(p**a for p in share.values())
+        return {s: p**a / power for s, p in share.items()}
+
+    def good(a):
+        w = weights(a)
+        passes = {s: w[s] / share[s] for s in share}
+        if kw.get("entropy"):
+            return -sum(x * math.log2(x) for x in w.values()) >= kw["entropy"]
+        if kw.get("cover"):
+            return max(passes.values()) / min(passes.values()) <= kw["repeats"]
+        return budget * max(passes.values()) <= kw["repeats"]
+
+    low, high = 0.0, 1.0
+    for _ in range(200):
+        middle = (low + high) / 2
+        if good(middle) == bool(kw.get("entropy")):
+            low = middle
+        else:
+            high = middle
+    want = weights(low)
+    assert 0.02 < low < 0.98  # the target binds
+    rows = mixture(d, **kw).collect()
+    got, w = totals(rows), {r.source: r.weight for r in rows}
+    passes = {s: want[s] / share[s] for s in share}
+    tokens = total * (1 / min(passes.values()) if kw.get("cover") else budget)
+    for s in own:
+        assert abs(w[s] - want[s]) < 1e-9
+        quota = round(tokens * want[s])
+        assert quota <= got[s] < quota + 22  # the last document may reach over by its own length
+
+
+def test_null_sources_repeated_rows_and_impossible_limits(spark):
+    rows = [(None, "a b c", None)] * 50 + [(7, "a b", "")] * 50 + [(i, "x y z", "s") for i in range(100, 150)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixture(d, repeats=2.0, cover=True).collect()
+    assert {r.source for r in got} == {None, "", "s"} and sum(r.source is None for r in got) >= 50 and sum(r.doc_id == 7 for r in got) >= 50
+    assert mixed(d).count() >= 150
+    with pytest.raises(ValueError):
+        mixture(d, budget=3.0, repeats=2.0)
