@@ -215,7 +215,8 @@ def similar(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataF
     turn = F.struct("x", "y", F.when(F.col("x") == F.col("y"), 2).otherwise(0).alias("side"))
     turns = tasks.select(F.col("x").alias("block"), turn.alias("turn")).unionByName(between.select(F.col("y").alias("block"), F.struct("x", "y", F.lit(1).alias("side")).alias("turn")))
     turns = turns.groupBy("block").agg(F.collect_list("turn").alias("turns"))  # as many as a block has partners
-    wanted = placed.join(turns, "block").select("node", "copies", "turns").join(full.select(F.col("row").alias("node"), "text"), "node")
+    # texts are dealt out by row at every size, as they must be where no list of the wanted rows fits into memory
+    wanted = placed.join(turns, "block").select("node", "copies", "turns").hint("merge").join(full.select(F.col("row").alias("node"), "text"), "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(lower=True)
