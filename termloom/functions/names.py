@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,11 +22,8 @@ def basename(path: Column) -> Column:
 
 def normalize_basename(name: Column) -> Column:
     """Without the mark of a repeated download, without a stray space before the ending, spelling put right."""
-    fixed = F.regexp_replace(F.regexp_replace(name, r"\s*\(\d+\)(?=\.jsonl$|\.json$)", ""), r"\s+(?=\.jsonl$|\.json$)", "")
-    out = fixed
-    for bad in MISSPELLED:
-        out = F.when(F.endswith(fixed, F.lit(bad)), F.concat(fixed.substr(F.lit(1), F.length(fixed) - len(bad)), F.lit(RIGHT))).otherwise(out)
-    return out
+    fixed = F.regexp_replace(name, r"(?:\s*\(\d+\)|\s+)(?=\.jsonl?$)", "")
+    return F.regexp_replace(fixed, "(?:" + "|".join(re.escape(bad) for bad in MISSPELLED) + ")$", RIGHT)
 
 
 def replace_out_name(name: Column) -> Column:
