@@ -1,7 +1,7 @@
 """Operator 6: main text of web pages by removal of site templates.
 
-A page is parsed once.  Every element with text gets a hash of its tags and text,
-inside and outside of articles; Spark counts for each host on how many of its
+A page is parsed once.  Every element with text that doesn't go by its own markup
+gets a hash of its tags and text, inside and outside of articles; Spark counts for each host on how many of its
 different pages a hash occurs.  Elements that recur on at least `share` of a
 host's pages, and on `least` of them, or, where no article is marked, on `many`,
 are the site's template and are deleted, with all that is in them.  Pages of one
@@ -139,13 +139,13 @@ def parsed(html: str) -> Node:
     return tree.root
 
 
-def nodes_below(top: Node) -> list[Node]:
-    """top and all elements below it, parents before children."""
+def nodes_below(top: Node, noise: bool = True) -> list[Node]:
+    """top and all elements below it, parents before children; without noise what is noise is left out with all in it."""
     order, stack = [], [top]
     while stack:
         node = stack.pop()
         order.append(node)
-        stack += [p for p in reversed(node.parts) if isinstance(p, Node)]
+        stack += [p for p in reversed(node.parts) if isinstance(p, Node) and (noise or not p.noise)]
     return order
 
 
@@ -179,12 +179,10 @@ def visible(node: Node, within: bool) -> bool:
     return not node.noise and (within or node.tag not in EDGES)
 
 
-def digests(root: Node) -> dict[int, bytes]:
-    """The hash of each element's tags and text, raw ones left out, for elements with text in them."""
+def digests(nodes: list[Node]) -> dict[int, bytes]:
+    """The hash of each element's tags and text, for those of the given ones (parents first) with text in them."""
     own: dict[int, bytes] = {}
-    for node in reversed(nodes_below(root)):
-        if node.tag in RAW:
-            continue
+    for node in reversed(nodes):
         h, full = blake2b(node.tag.encode(), digest_size=8), False
         for p in node.parts:
             if isinstance(p, Node):
@@ -202,11 +200,12 @@ def digests(root: Node) -> dict[int, bytes]:
 def blocks_of(root: Node) -> tuple[list[str], list[tuple[int, int, int]], bool]:
     """(texts of the content's blocks in page order; (hash, first block, end) of every element that holds some; marked).
 
-    Elements outside the content are listed too, without blocks: they count as
-    their site's, though they go by their own markup.
+    Elements outside a marked article are listed too, without blocks: they count
+    as their site's.  What goes by its own markup is not: no count changes that.
     """
     tops, marked = content(root)
-    hashes = digests(root)
+    every = nodes_below(root, noise=False)
+    hashes = digests(every)
     blocks: list[str] = []
     current: list[str] = []
     spans: dict[int, tuple[int, int]] = {}
@@ -233,7 +232,7 @@ def blocks_of(root: Node) -> tuple[list[str], list[tuple[int, int, int]], bool]:
                 stack += reversed(part.parts)
         flush()
     nodes = []
-    for node in nodes_below(root):
+    for node in every:
         if id(node) in hashes and node.tag not in INLINE and node.tag not in ("html", "body", "#root") and not any(node is t for t in tops):
             nodes.append((int.from_bytes(hashes[id(node)], "little", signed=True), *spans.get(id(node), (-1, -1))))
     return blocks, nodes, marked
@@ -249,18 +248,22 @@ def main_text(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
-        kinds = [pa.list_(pa.string()), pa.list_(pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("end", pa.int32())])), pa.bool_(), pa.int64()]
         for whole in batches:
             for a in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(a, ROWS)
-                out = []
+                size, out, parts, sizes = batch.num_rows, [], [], [0]
                 for html in batch.column("html").to_pylist():
                     blocks, nodes, marked = blocks_of(parsed(html or ""))
+                    parts += nodes
+                    sizes.append(len(parts))
                     same = blake2b(b"".join(h.to_bytes(8, "little", signed=True) for h, _, _ in nodes), digest_size=8)
                     same.update("\n".join(blocks).encode("utf-8", "surrogatepass"))
-                    out.append((blocks, [dict(zip(("hash", "first", "end"), n, strict=True)) for n in nodes], marked, int.from_bytes(same.digest(), "little", signed=True)))
-                size = batch.num_rows
-                yield pa.RecordBatch.from_arrays([pa.array(range(row, row + size), pa.int64()), *batch.select(["page_id", "url", "host"]).columns, *[pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]], ["row", "page_id", "url", "host", "blocks", "nodes", "marked", "content"])
+                    out.append((blocks, marked, int.from_bytes(same.digest(), "little", signed=True)))
+                texts, marks, contents = zip(*out, strict=True)
+                fields = zip(*parts, strict=True) if parts else ([], [], [])
+                held = pa.StructArray.from_arrays([pa.array(list(c), k) for c, k in zip(fields, (pa.int64(), pa.int32(), pa.int32()), strict=True)], ["hash", "first", "end"])
+                columns = [pa.array(list(texts), pa.list_(pa.string())), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), held), pa.array(marks, pa.bool_()), pa.array(contents, pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(range(row, row + size), pa.int64()), *batch.select(["page_id", "url", "host"]).columns, *columns], ["row", "page_id", "url", "host", "blocks", "nodes", "marked", "content"])
                 row += size
 
     rows = materialise(keyed.mapInArrow(tidied(run), "row long, page_id long, url string, host long, blocks array<string>, nodes array<struct<hash:long,first:int,end:int>>, marked boolean, content long"), "pages")
