@@ -275,6 +275,7 @@ def main_text(pages: DataFrame, least: int = LEAST_PAGES, share: float = SHARE,
     inside = rows.select("row", "host", "marked", F.explode(F.filter("nodes", lambda n: n["first"] >= 0)).alias("n")).select("row", "host", "marked", "n.*")
     # within a marked article only what a share of all pages holds is the site's
     hits = inside.join(recurring, ["host", "hash"]).where("common or not marked").groupBy("row").agg(F.collect_list(F.struct("first", "end")).alias("gone"))
+    hits = materialise(hits, "hits")  # written first: where few pages hold templates, Spark sees that before it deals out texts
     hit = rows.select("row", "page_id", "url", "marked", "blocks").join(hits, "row", "left")
     at = F.transform("blocks", lambda b, i: F.struct(b.alias("b"), F.exists("gone", lambda g: (g["first"] <= i) & (i < g["end"])).alias("gone")))
     hit = hit.withColumn("at", F.when(F.col("gone").isNotNull(), at))
