@@ -58,7 +58,7 @@ NOTICES = {
 }
 
 # Sentences that put a work under a licence, whose name stands at {}.
-STATEMENTS = ["licensed under the {}", "released under the {}", "distributed under the {}", "distributed under the terms of the {}", "available under the {}", "published under the {}", "this work is licensed under a {}", "this work is licensed under the {}"]
+STATEMENTS = ["licensed under {}", "released under {}", "distributed under {}", "available under {}", "licensed under the {}", "released under the {}", "distributed under the {}", "distributed under the terms of the {}", "available under the {}", "published under the {}", "this work is licensed under a {}", "this work is licensed under the {}"]
 
 
 def licence_names() -> list[tuple[str, str]]:

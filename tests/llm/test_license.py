@@ -45,6 +45,7 @@ LIBRARY = Library(COVERAGE, NOTICES)
         ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
         ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
         ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        ("Word under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
         ("Released under the BSD License.", "BSD"),
         ("Released under the GPL License.", "GPL"),
         ("Released under the MIT License.", "MIT"),
