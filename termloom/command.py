@@ -7,14 +7,16 @@ but the package withheld.
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.operators import dedup, delivery, metrics, planning, verify
-from termloom.operators.provider import Breakers, Provider, RuleProvider, get_profile, run_waves
+from termloom.functions.morph import check_form, with_analyzer
+from termloom.operators import dedup, delivery, metrics, planning, prompts, verify
+from termloom.operators.provider import Breakers, Provider, RuleProvider, get_profile, run_waves, withdraw
 from termloom.plans.run import corrected, extract, plan
 from termloom.sources import corpus, sinks
 
@@ -30,6 +32,9 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--lang", default="es", choices=sorted(corpus.LANGUAGES))
     r.add_argument("--model", default="rules")
     r.add_argument("--effort")
+    r.add_argument("--provider", help="module:name of a Provider class; without it the offline one")
+    r.add_argument("--analyzer", help="module:name of a morphological analyzer")
+    r.add_argument("--prompt", help="text file: instructions, then ===USER=== and the user's part with {pairs}")
     r.add_argument("--batch-size", type=int, default=planning.BATCH)
     r.add_argument("--concurrency", type=int, default=planning.CONCURRENCY)
     r.add_argument("--limit-files", type=int)
@@ -56,9 +61,20 @@ def refuse(why: str) -> int:
     return 2
 
 
+def named(place: str):
+    """What module:name stands for."""
+    module, _, name = place.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def run(spark: SparkSession, a: argparse.Namespace, make: type[Provider] = RuleProvider, analyzer=None) -> int:
     """One run from files to tables, package and report."""
     lang = a.lang.partition("_")[0]
+    try:
+        make = named(a.provider) if a.provider else make
+        analyzer = named(a.analyzer)() if a.analyzer else analyzer
+    except (ImportError, AttributeError) as e:
+        return refuse(str(e))
     if analyzer is None and "degraded" not in a.allow:
         return refuse("no morphological analyzer; --allow degraded runs the native checks only")
     files, _ = corpus.load_corpus(spark, a.corpus)
@@ -86,10 +102,27 @@ def run(spark: SparkSession, a: argparse.Namespace, make: type[Provider] = RuleP
         return refuse(f"{a.model} has no price")
     enforce = {"spend", *({"balance"} - set(a.allow)), *(set() if "rate-limit" in a.allow else {"rate"})}
     breakers = Breakers(a.max_spend or planning.auto_budget(totals["s"], a.batch_size), profile.price, enforce=frozenset(enforce))
-    cache = f"{a.out}/responses" + (f"-{a.tag}" if a.no_cache else "")
-    responses, skipped, why = run_waves(batches, cache, make, breakers, wave=5 * a.concurrency, effort=a.effort, parallel=a.concurrency, profile=profile)
-    first = extract(batches, responses, lang)
-    done = first if a.no_correct_retry or why else corrected(first, make, lang)
+    try:
+        system, user = prompts.read_prompt(spark, a.prompt) if a.prompt else prompts.default_prompt(spark, lang)
+    except ValueError as e:
+        return refuse(str(e))
+    cache = f"{a.out}/responses"
+    asking = {"wave": 5 * a.concurrency, "reuse": not a.no_cache, "effort": a.effort, "parallel": a.concurrency, "profile": profile, "system": system, "user": user}
+    check = with_analyzer(analyzer) if analyzer else check_form
+    responses, skipped, why = run_waves(batches, cache, make, breakers, **asking)
+    done = extract(batches, responses, lang, check)
+    stopped = [why]
+    if not a.no_correct_retry and not why:
+
+        def ask(again: DataFrame) -> DataFrame:
+            nonlocal responses
+            second, _, stop = run_waves(again, cache, make, breakers, kind="correction", **asking)
+            stopped.append(stop)
+            responses = responses.unionByName(second)
+            return second
+
+        done = corrected(done, make, lang, check, ask)
+    withdraw(cache, responses, done.outcomes)
     keyed = sentences.select("file", F.col("pos").cast("long").alias("sent_id"), "out_id")
     made = done.terms.join(keyed, ["file", "sent_id"])
     rows = dedup.fan_out(made.join(files.select(F.col("basename").alias("file"), "digest"), "file").drop("file"), files.select("basename", "out_name", "layer", "digest"))
@@ -101,7 +134,8 @@ def run(spark: SparkSession, a: argparse.Namespace, make: type[Provider] = RuleP
     m = done.metrics() if why is None else metrics.run_metrics(done.outcomes, skipped)
     gates = metrics.gates(m, analyzer is not None, rate_limited=breakers.n429, balance_errors=breakers.balance)
     incomplete = m.first()["incomplete_rate"] > metrics.INCOMPLETE
-    sinks.save_report(m, gates, f"{a.out}/report-{a.tag}.json")
+    ended = next((x for x in stopped if x), None)
+    sinks.save_report(m, gates, f"{a.out}/report-{a.tag}.json", {"stopped": ended, "calls": breakers.calls, "usd": breakers.spend})
     if incomplete:
         lost = sinks.incomplete_table(batches, done.outcomes, skipped)
         sinks.replace_file(f"{a.out}/incomplete.txt", sinks.incomplete_report(lost).encode())
@@ -117,6 +151,8 @@ def check(spark: SparkSession, a: argparse.Namespace) -> int:
     problems = verify.header_problems(rows.columns)
     if a.expect_files is not None and (n := rows.select("out_name").distinct().count()) != a.expect_files:
         problems.append(f"{n} files, {a.expect_files} expected")
+    if not problems:
+        problems += verify.lineage_problems(spark, rows, f"{a.out}/raw")
     passed, counts = verify.verdict(rows.withColumn("note", F.coalesce("note", F.lit(""))), a.max_neither) if not problems else (False, {})
     print(json.dumps({"passed": passed and not problems, "problems": problems, **counts}, ensure_ascii=False))
     return 0 if passed and not problems else 1

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.text import RATE_LIMIT_HITS, RATE_LIMIT_SHARE, balance_exhausted, refused, truncated
+from termloom.sources.scratch import materialise
 
 # Attempts and seconds of a call, retried statuses, limits of what a correction feeds back.
 ATTEMPTS, TIMEOUT, SLOT = 5, 300, 900
@@ -26,6 +27,12 @@ RETRIED = {408, 409, 425, 429, 500, 502, 503, 504}
 PROBLEMS, FEEDBACK_CHARS = 25, 20_000
 
 RESPONSE = "file string, batch_idx int, batch_key string, kind string, ok boolean, content string, finish_reason string, status int, error string, attempts int, n429 int, prompt_tokens long, cached_tokens long, completion_tokens long, reasoning_tokens long, model string, effort string, wire_fp string"
+ANSWERED = f"{RESPONSE}, prompt_hash string"
+#: A stored response: the call's own columns, what it was asked, and the run and wave that called.
+STORED = f"{ANSWERED}, run long, wave int"
+#: What tells askings of one model, effort and kind apart, and what names one stored response.
+ASKING = ["file", "batch_idx", "batch_key", "prompt_hash"]
+NAMED = [*ASKING, "model", "effort", "kind", "run"]
 
 
 @dataclass(frozen=True)
@@ -149,6 +156,15 @@ def call(provider: Provider, messages: list[dict], parameters: dict, sleep: Call
     return {"ok": False, "content": None, "finish_reason": None, "error": str(last), "status": last.status, "attempts": attempt, "n429": n429, "prompt_tokens": 0, "cached_tokens": 0, "completion_tokens": 0, "reasoning_tokens": 0}
 
 
+def asked(batches: DataFrame, system: str, user: str) -> DataFrame:
+    """batches with prompt_hash: of both prompts and, in a correction, of what it feeds back."""
+    own = F.lit(prompt_hash(system, user))
+    if "feedback" in batches.columns:
+        told = F.substring(F.coalesce("feedback", F.lit("")), 1, FEEDBACK_CHARS)
+        own = F.substring(F.sha2(F.concat_ws("\n", own, told), 256), 1, 12)
+    return batches.withColumn("prompt_hash", own)
+
+
 def respond(batches: DataFrame, make: Callable[[], Provider], system: str = "", user: str = "{pairs}", effort: str | None = None, kind: str = "first", parallel: int = 8, profile: Profile | None = None) -> DataFrame:
     """A response for each batch; at most `parallel` tasks call at a time, within the model's ceiling."""
     profile = profile or get_profile(make().model)
@@ -161,24 +177,21 @@ def respond(batches: DataFrame, make: Callable[[], Provider], system: str = "",
             rows = []
             for r in part.itertuples(index=False):
                 feedback = getattr(r, "feedback", None)
-                asked = messages_for([dict(zip(("pos", "src", "tgt"), (p["pos"], p["src"], p["tgt"]), strict=True)) for p in r.pairs], system, user)
+                messages = messages_for([dict(zip(("pos", "src", "tgt"), (p["pos"], p["src"], p["tgt"]), strict=True)) for p in r.pairs], system, user)
                 if feedback:
-                    asked[-1]["content"] += "\n" + feedback[:FEEDBACK_CHARS]
-                got = call(provider, asked, parameters)
-                rows.append({"file": r.file, "batch_idx": r.batch_idx, "batch_key": r.batch_key, "kind": kind, **got, "model": known, "effort": parameters["effort"], "wire_fp": wire})
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in RESPONSE.split(", ")])
+                    messages[-1]["content"] += "\n" + feedback[:FEEDBACK_CHARS]
+                got = call(provider, messages, parameters)
+                rows.append({"file": r.file, "batch_idx": r.batch_idx, "batch_key": r.batch_key, "kind": kind, **got, "model": known, "effort": parameters["effort"], "wire_fp": wire, "prompt_hash": r.prompt_hash})
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in ANSWERED.split(", ")])
 
-    columns = ["file", "batch_idx", "batch_key", "pairs"] + [c for c in ("feedback",) if c in batches.columns]
-    return batches.select(*columns).repartition(max(1, min(parallel, profile.ceiling))).mapInPandas(run, RESPONSE)
+    columns = [*ASKING, "pairs"] + [c for c in ("feedback",) if c in batches.columns]
+    return asked(batches, system, user).select(*columns).repartition(max(1, min(parallel, profile.ceiling))).mapInPandas(run, ANSWERED)
 
 
 def cacheable() -> Column:
     return F.col("ok") & ~refused("ok", "content", "finish_reason") & ~truncated("finish_reason")
 
 
-CACHE_KEY = ["file", "batch_idx", "batch_key", "model", "effort", "prompt_hash", "kind"]
-
-
 def worklist(batches: DataFrame, cache: DataFrame, on: list[str] | None = None) -> DataFrame:
     """Batches without a kept response."""
     on = on or ["file", "batch_idx", "batch_key"]
@@ -186,10 +199,17 @@ def worklist(batches: DataFrame, cache: DataFrame, on: list[str] | None = None)
 
 
 def valid_cache(cache: DataFrame, tombstones: DataFrame | None = None, wire_fp: str | None = None) -> DataFrame:
-    """Kept responses of the same parameters (old ones without a fingerprint count) that no tombstone withdrew."""
+    """Kept responses of the same parameters (old ones without a fingerprint count) that no tombstone withdrew.
+
+    A tombstone withdraws by as many of a response's names as it holds: a batch
+    as a whole, or one response of one run.
+    """
     if wire_fp:
         cache = cache.where(F.col("wire_fp").isNull() | (F.col("wire_fp") == wire_fp))
-    return cache.join(tombstones.select("file", "batch_key").distinct(), ["file", "batch_key"], "left_anti") if tombstones is not None else cache
+    if tombstones is None:
+        return cache
+    on = [c for c in NAMED if c in tombstones.columns and c != "effort"]
+    return cache.join(tombstones.select(*on).distinct(), on, "left_anti")
 
 
 def tombstones(outcomes: DataFrame) -> DataFrame:
@@ -235,29 +255,71 @@ class Breakers:
         return None
 
 
-def run_waves(batches: DataFrame, path: str, make: Callable[[], Provider], breakers: Breakers, wave: int = 40, **options) -> tuple[DataFrame, DataFrame, str | None]:
+def _exists(spark, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def stored(spark, path: str) -> DataFrame:
+    """All responses of the table at path that nothing withdrew; none if there is no table.
+
+    Rows of a table that lacks prompt_hash have null there and answer no asking.
+    """
+    if not _exists(spark, path):
+        return spark.createDataFrame([], STORED)
+    rows, gone = spark.read.schema(STORED).parquet(path), f"{path}.withdrawn"
+    return valid_cache(rows, spark.read.parquet(gone)) if _exists(spark, gone) else rows
+
+
+def withdraw(path: str, responses: DataFrame, outcomes: DataFrame) -> None:
+    """Withdraw the answers, of either kind, to batches whose final answer couldn't be read: the next run asks again."""
+    gone = responses.where("ok").join(tombstones(outcomes).distinct(), ["file", "batch_key"], "left_semi")
+    gone.select(*NAMED).write.mode("append").parquet(f"{path}.withdrawn")
+
+
+def _latest(batches: DataFrame, rows: DataFrame) -> DataFrame:
+    """The last run's response to each of the askings in batches."""
+    mine = rows.join(batches.select(*ASKING), ASKING, "left_semi")
+    return mine.join(mine.groupBy(*ASKING).agg(F.max("run").alias("run")), [*ASKING, "run"])
+
+
+def run_waves(batches: DataFrame, path: str, make: Callable[[], Provider], breakers: Breakers, wave: int = 40, reuse: bool = True, **options) -> tuple[DataFrame, DataFrame, str | None]:
     """(responses, skipped batches, why it stopped): waves of batches, each appended to the table at path before the next.
 
-    What the table already holds isn't called again, so a stopped run resumes.
-    Only the number of waves is known to the driver, never the batches.
+    A good answer that the table holds isn't asked for again if it is of the same
+    batch, prompt, feedback, model, effort, parameters and kind; failed, refused,
+    truncated and withdrawn ones are.  So a stopped run resumes.  reuse=False asks
+    for all and counts nothing of earlier runs.  The batches are written once, in
+    the order of their waves, so a wave reads its own and no input again.  Only
+    the number of waves is known to the driver, never the batches.
     """
     spark = batches.sparkSession
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    have = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-    todo = worklist(batches, spark.read.parquet(path)) if have else batches
+    if spark.conf.get("spark.speculation", "false") == "true":
+        raise ValueError("switch spark.speculation off: it would pay for calls twice")
+    profile = options.get("profile") or get_profile(make().model)
+    parameters, kind = profile.parameters(options.get("effort")), options.get("kind", "first")
+    batches = asked(batches, options.get("system", ""), options.get("user", "{pairs}"))
+
+    def same() -> DataFrame:
+        rows = valid_cache(stored(spark, path), None, fingerprint(parameters))
+        return rows.where((F.col("model") == profile.name) & F.col("effort").eqNullSafe(F.lit(parameters["effort"])) & (F.col("kind") == kind))
+
+    last = spark.read.schema(STORED).parquet(path).agg(F.max("run")).first()[0] if _exists(spark, path) else None
+    run = (last or 0) + 1
+    todo = worklist(batches, same().where(F.coalesce(cacheable(), F.lit(False))), ASKING) if reuse else batches
+    columns = [*ASKING, "pairs"] + [c for c in ("feedback",) if c in batches.columns]
+    todo = materialise(todo.select(*columns, F.pmod(F.xxhash64("file", "batch_key", "batch_idx"), F.lit(1 << 20)).alias("_turn")).orderBy("_turn"), "todo")
     n = todo.count()
     waves = max(1, -(-n // wave))
-    todo = todo.withColumn("_wave", F.pmod(F.xxhash64("file", "batch_key", "batch_idx"), F.lit(waves)))
     why = None
-    speculation = spark.conf.get("spark.speculation", "false")
-    if speculation == "true":
-        raise ValueError("switch spark.speculation off: it would pay for calls twice")
     for i in range(waves if n else 0):
-        done = respond(todo.where(F.col("_wave") == i), make, **options)
-        done.withColumn("wave", F.lit(i)).write.mode("append").parquet(path)
-        breakers.add(spark.read.parquet(path).where((F.col("wave") == i)))
+        turn = F.col("_turn")
+        mine = todo.where((turn >= (i << 20) // waves) & (turn < ((i + 1) << 20) // waves))
+        done = respond(mine.drop("_turn", "prompt_hash"), make, **options)
+        done.withColumn("run", F.lit(run).cast("long")).withColumn("wave", F.lit(i)).write.mode("append").parquet(path)
+        breakers.add(spark.read.schema(STORED).parquet(path).where((F.col("run") == run) & (F.col("wave") == i)))
         if why := breakers.stop():
             break
-    responses = spark.read.schema(RESPONSE).parquet(path) if n or have else spark.createDataFrame([], RESPONSE)
-    return responses, worklist(batches, responses), why
+    rows = same() if reuse else same().where(F.col("run") == run)
+    responses = _latest(batches, rows)
+    return responses, worklist(batches, responses, ASKING).drop("prompt_hash"), why

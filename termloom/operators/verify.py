@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions.text import TYPES, cjk_ratio
@@ -55,3 +55,12 @@ def lineage(delivered: DataFrame, raw: DataFrame) -> DataFrame:
     index = raw.groupBy(*key).agg(F.collect_set(F.struct("term_src_dict", "term_tgt_dict")).alias("forms"))
     own = F.struct("term_src_dict", "term_tgt_dict")
     return delivered.join(index, key, "left").withColumn("problem", F.when(F.col("forms").isNull(), "missing").when(~F.array_contains("forms", own), "other_form")).where("problem is not null").drop("forms")
+
+
+def lineage_problems(spark: SparkSession, delivered: DataFrame, path: str) -> list[str]:
+    """What the raw dump at path doesn't bear out, counted by problem; a dump that was never written is a problem of its own."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return ["no raw rows to compare with"]
+    raw = spark.read.schema(delivered.schema).json(path)
+    return [f"{r['count']} rows: {r['problem']}" for r in lineage(delivered, raw).groupBy("problem").count().orderBy("problem").collect()]

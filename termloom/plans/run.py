@@ -46,11 +46,18 @@ def extract(batches: DataFrame, responses: DataFrame, lang: str | None = None, c
     return Run(batches, read, rows, answers.outcomes(batches, read, rows), delivery.finish(rows))
 
 
-def corrected(first: Run, make: Callable[[], Provider], lang: str | None = None, check=check_form) -> Run:
-    """A second answer for batches that need one; each batch keeps the better of the two."""
+def corrected(first: Run, make: Callable[[], Provider], lang: str | None = None, check=check_form, ask: Callable[[DataFrame], DataFrame] | None = None) -> Run:
+    """A second answer for batches that need one; each batch keeps the better of the two.
+
+    `ask` gets the batches with their feedback and returns responses, as waves
+    under a cap do; without it all are asked at once.  A batch that got no
+    readable second answer keeps its first.
+    """
     todo = materialise(first.outcomes.where("needs_retry").select("file", "batch_idx"), "retries")
     again = first.batches.join(todo, ["file", "batch_idx"]).join(answers.feedback(first.rows, first.answers), ["file", "batch_idx"], "left")
-    second = extract(first.batches.join(todo, ["file", "batch_idx"], "left_semi"), respond(again, make, kind="correction"), lang, check)
+    said = ask(again) if ask else respond(again, make, kind="correction")
+    second = extract(first.batches.join(todo, ["file", "batch_idx"], "left_semi"), said, lang, check)
+    second.outcomes = second.outcomes.where("ok and not parse_failed")
     kept = materialise(answers.better(first.outcomes, second.outcomes).select("file", "batch_idx", "kind"), "kept")
 
     def of(kind: str, df: DataFrame) -> DataFrame:
@@ -58,7 +65,7 @@ def corrected(first: Run, make: Callable[[], Provider], lang: str | None = None,
 
     rows = of("first", first.rows).unionByName(of("correction", second.rows))
     states = of("first", first.outcomes).unionByName(of("correction", second.outcomes))
-    read = of("first", first.answers).unionByName(of("correction", second.answers))
+    read = of("first", first.answers).unionByName(of("correction", second.answers), allowMissingColumns=True)
     return Run(first.batches, read, rows, states, delivery.finish(rows))
 
 

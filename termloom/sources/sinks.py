@@ -135,9 +135,10 @@ def incomplete_table(batches: DataFrame, outcomes: DataFrame, skipped: DataFrame
     return batches.join(lost, ["file", "batch_idx"]).select("file", "batch_idx", F.get("pairs", F.lit(0))["pos"].alias("first_pos"), F.element_at("pairs", -1)["pos"].alias("last_pos"), "why")
 
 
-def save_report(metrics: DataFrame, gates: DataFrame, path: str) -> None:
+def save_report(metrics: DataFrame, gates: DataFrame, path: str, calls: dict | None = None) -> None:
+    """Metrics and gates of a run, and what its calls came to."""
     one = metrics.first()
-    text = {"metrics": one.asDict() if one else {}, "gates": [r.asDict() for r in gates.collect()]}
+    text = {"metrics": one.asDict() if one else {}, "gates": [r.asDict() for r in gates.collect()], **({"calls": calls} if calls else {})}
     replace_file(path, json.dumps(text, ensure_ascii=False, indent=2, default=str).encode())
 
 

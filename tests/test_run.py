@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from termloom.operators import answers, delivery, lexicon, metrics, provider, verify
+from termloom.operators import answers, delivery, lexicon, metrics, prompts, provider, verify
 from termloom.plans.run import corrected, extract, offline, plan
 from termloom.sources import sinks
 from termloom.streaming.pairs import stream_terms
@@ -122,6 +122,11 @@ class Broke(provider.RuleProvider):
         raise provider.CallError("insufficient_quota", 403)
 
 
+class Mumbling(provider.RuleProvider):
+    def complete(self, messages, parameters):
+        return {**super().complete(messages, parameters), "content": "hm"}
+
+
 def test_waves_resume_and_stop(spark, sentences, tmp_path):
     batches = plan(sentences, 1)
     price = provider.Price(1.0, 0.0, 0.0)
@@ -141,6 +146,37 @@ def test_waves_resume_and_stop(spark, sentences, tmp_path):
     assert calm.stop() == "rate"
 
 
+def test_stored_answers_are_of_one_asking(spark, sentences, tmp_path):
+    batches, path = plan(sentences, 4), f"{tmp_path}/r"
+
+    def calls(make=provider.RuleProvider, **options):
+        b = provider.Breakers(1e9, provider.Price(1.0, 1.0, 1.0))
+        responses, skipped, why = provider.run_waves(batches, path, make, b, **options)
+        assert responses.count() == 2 and skipped.count() == 0 and why is None
+        return b.calls, responses
+
+    assert calls()[0] == 2 and calls()[0] == 0
+    assert calls(system="other")[0] == 2 and calls(effort="high")[0] == 2 and calls(reuse=False)[0] == 2
+    unreadable = provider.run_waves(batches, path, Mumbling, provider.Breakers(1e9, provider.Price(1.0, 1.0, 1.0)), system="third")[0]
+    provider.withdraw(path, unreadable, extract(batches, unreadable).outcomes)
+    n, again = calls(system="third")
+    assert n == 2 and again.where("content = 'hm'").count() == 0 and calls(system="third")[0] == 0
+
+
+def test_correction_within_the_cap(spark, sentences, tmp_path):
+    first = offline(sentences, lambda: provider.RuleProvider(noise=2))
+    breakers = provider.Breakers(1e9, provider.Price(1.0, 1.0, 1.0))
+    both = corrected(first, Broke, ask=lambda again: provider.run_waves(again, f"{tmp_path}/c", Broke, breakers, kind="correction")[0])
+    assert breakers.calls == 1 and both.terms.count() == 4 and both.outcomes.where("ok").count() == 1
+
+
+def test_prompts(spark, tmp_path):
+    system, user = prompts.default_prompt(spark, "es")
+    assert "term_src" in system and "dictionary form" in system and user == "{pairs}"
+    (tmp_path / "p.txt").write_bytes(b"\xef\xbb\xbfrules\r\n===USER===\r\ndo {pairs}")
+    assert prompts.read_prompt(spark, f"{tmp_path}/p.txt") == ("rules", "do {pairs}")
+
+
 def test_metrics_and_gates(spark, sentences):
     run = offline(sentences, lambda: provider.RuleProvider(noise=2))
     m = run.metrics()
