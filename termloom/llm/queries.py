@@ -77,6 +77,12 @@ def op10_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termloom.llm.fim import fill_in_middle
+
+    return fill_in_middle(table(spark, sf_dir, "documents"), plain=10, spm=20, seed=1, keep_text=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name: every function of this module called opN_<name>."""
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
@@ -107,6 +113,15 @@ SELECT doc_id, coalesce(max(n), 0) AS n_shingles, least(doc_id, coalesce(min(m),
 )
 
 
+OP11 = r"""WITH units AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS us, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (SELECT doc_id, t, us, len(us) AS n, [CAST('0x' || substr(h, i, 8) AS UBIGINT) FOR i IN [1, 9, 17, 25]] AS d FROM units),
+cut AS (SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS x, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS y, CASE WHEN n = 0 OR regexp_matches(t, '<[PSM]>') OR d[3] % 100 >= 90 THEN 'plain' WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT doc_id, t, n, form, array_to_string(us[1:x], '') AS p, array_to_string(us[x + 1:y], '') AS m, array_to_string(us[y + 1:n], '') AS s FROM cut),
+made AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS output FROM parts),
+back AS (SELECT *, regexp_extract(output, CASE form WHEN 'spm' THEN '(?s)^<S>(.*?)<P>(.*?)<M>(.*)$' ELSE '(?s)^<P>(.*?)<S>(.*?)<M>(.*)$' END, ['a', 'b', 'c']) AS g FROM made)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars, sha256(output) AS output_sha256, sha256(CASE form WHEN 'plain' THEN output WHEN 'psm' THEN g.a || g.c || g.b ELSE g.b || g.c || g.a END) AS restored_sha256 FROM back"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators whose whole result SQL can state; tests/llm holds the others against brute force."""
-    return {"op8_fm_index": OP8, "op10_prefix_join": OP10}
+    return {"op8_fm_index": OP8, "op10_prefix_join": OP10, "op11_fill_in_middle": OP11}
