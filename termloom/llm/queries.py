@@ -118,8 +118,8 @@ drawn AS (SELECT doc_id, t, us, len(us) AS n, [CAST('0x' || substr(h, i, 8) AS U
 cut AS (SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS x, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS y, CASE WHEN n = 0 OR regexp_matches(t, '<[PSM]>') OR d[3] % 100 >= 90 THEN 'plain' WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
 parts AS (SELECT doc_id, t, n, form, array_to_string(us[1:x], '') AS p, array_to_string(us[x + 1:y], '') AS m, array_to_string(us[y + 1:n], '') AS s FROM cut),
 made AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS output FROM parts),
-back AS (SELECT *, regexp_extract(output, CASE form WHEN 'spm' THEN '(?s)^<S>(.*?)<P>(.*?)<M>(.*)$' ELSE '(?s)^<P>(.*?)<S>(.*?)<M>(.*)$' END, ['a', 'b', 'c']) AS g FROM made)
-SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars, sha256(output) AS output_sha256, sha256(CASE form WHEN 'plain' THEN output WHEN 'psm' THEN g.a || g.c || g.b ELSE g.b || g.c || g.a END) AS restored_sha256 FROM back"""
+back AS (SELECT *, CASE form WHEN 'plain' THEN output WHEN 'psm' THEN regexp_replace(output, '^<P>(.*?)<S>(.*?)<M>(.*)$', '\1\3\2', 's') ELSE regexp_replace(output, '^<S>(.*?)<P>(.*?)<M>(.*)$', '\2\3\1', 's') END AS again FROM made)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars, sha256(output) AS output_sha256, sha256(again) AS restored_sha256 FROM back"""
 
 
 def oracle_sql() -> dict[str, str]:
