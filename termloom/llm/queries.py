@@ -83,6 +83,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle(table(spark, sf_dir, "documents"), plain=10, spm=20, seed=1, keep_text=False)
 
 
+def op12_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termloom.llm.suffixes import remove_strings
+
+    return remove_strings(table(spark, sf_dir, "documents"), size=200, keep_text=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name: every function of this module called opN_<name>."""
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
@@ -122,6 +128,16 @@ back AS (SELECT *, CASE form WHEN 'plain' THEN output WHEN 'psm' THEN regexp_rep
 SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars, sha256(output) AS output_sha256, sha256(again) AS restored_sha256 FROM back"""
 
 
+OP12 = """WITH hexed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+pieces AS (SELECT doc_id, a, substr(h, 2 * a + 1, 4398) AS h FROM hexed, unnest(range(0, length(h) // 2, 2000)) AS q(a)),
+bytes AS (SELECT doc_id, a + j AS i, substr(h, 2 * j - 1, 2) AS b, CASE WHEN 2 * j + 398 <= length(h) THEN md5(substr(h, 2 * j - 1, 400)) END AS k FROM pieces, unnest(range(1, least(2000, length(h) // 2) + 1)) AS r(j)),
+often AS (SELECT k FROM bytes WHERE k IS NOT NULL GROUP BY k HAVING count(*) > 1),
+marked AS (SELECT doc_id, i, b, often.k IS NOT NULL AS again FROM bytes LEFT JOIN often USING (k)),
+under AS (SELECT doc_id, i, b, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone FROM marked),
+edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM under)
+SELECT doc_id, count(i) AS n_bytes, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans, sha256(unhex(coalesce(string_agg(b, '' ORDER BY i) FILTER (WHERE NOT gone), ''))) AS kept_sha256 FROM documents LEFT JOIN edges USING (doc_id) GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators whose whole result SQL can state; tests/llm holds the others against brute force."""
-    return {"op8_fm_index": OP8, "op10_prefix_join": OP10, "op11_fill_in_middle": OP11}
+    return {"op8_fm_index": OP8, "op10_prefix_join": OP10, "op11_fill_in_middle": OP11, "op12_suffix_family": OP12}
