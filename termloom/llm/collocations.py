@@ -24,8 +24,8 @@ Defined results: a null language counts as `und`; a null, empty or wordless text
 has no phrase; repeated rows and equal ids count as often as they are there; a
 language without a phrase is not in the result; equal scores are ordered by count,
 then phrase; an empty table gives an empty result; further columns are ignored.
-Texts of any length are cut between words into shards of bounded size, joined by
-no phrase only at the ends of pieces.
+Shards end where runs of whole texts do, so a very long text counts whole, in a
+shard of its own.
 """
 
 from __future__ import annotations

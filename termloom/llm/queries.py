@@ -89,6 +89,12 @@ def op12_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_strings(table(spark, sf_dir, "documents"), size=200, keep_text=False)
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from termloom.llm.collocations import collocations, ranked
+
+    return ranked(collocations(table(spark, sf_dir, "documents"), longest=5, least=100, share=100), most=2000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """By name: every function of this module called opN_<name>."""
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
@@ -138,6 +144,20 @@ edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id OR
 SELECT doc_id, count(i) AS n_bytes, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans, sha256(unhex(coalesce(string_agg(b, '' ORDER BY i) FILTER (WHERE NOT gone), ''))) AS kept_sha256 FROM documents LEFT JOIN edges USING (doc_id) GROUP BY doc_id"""
 
 
+OP13 = r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM worded GROUP BY 1),
+grams AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM worded, unnest(range(1, len(ws) + 1)) AS q(i), unnest(range(1, 6)) AS s(k) WHERE i + k - 1 <= len(ws)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cuts AS (SELECT c.lang, c.phrase, c.a, n, j, l.a AS l, r.a AS r, (CAST(1000 AS HUGEINT) * c.a * n) // (CAST(l.a AS HUGEINT) * r.a) AS score FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) AS c JOIN totals USING (lang) JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:j], ' ') JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[j + 1:c.k], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+parts AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM candidates, unnest(range(1, 5)) AS q(i), unnest(range(2, 5)) AS s(m) WHERE m < k AND i + m - 1 <= k GROUP BY 1, 2),
+left_over AS (SELECT best.* FROM best LEFT JOIN parts USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+placed AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM left_over)
+SELECT * FROM placed WHERE rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators whose whole result SQL can state; tests/llm holds the others against brute force."""
-    return {"op8_fm_index": OP8, "op10_prefix_join": OP10, "op11_fill_in_middle": OP11, "op12_suffix_family": OP12}
+    return {"op8_fm_index": OP8, "op10_prefix_join": OP10, "op11_fill_in_middle": OP11, "op12_suffix_family": OP12, "op13_phrase_collocations": OP13}
