@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from termloom.llm.common import materialise, only, tidied
 from termloom.llm.components import components
@@ -65,7 +66,13 @@ def prefix_size(n: int, num: int, den: int) -> int:
 
 
 def _described(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """A row for each document: its own number, set size and signature, prefix and the prefix's hash, and the text as it is."""
+    """A row for each document: its own number, set size and signature, prefix and the prefix's hash, and all columns as they are.
+
+    Columns beyond doc_id and text stand in the struct `rest`.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = ["rest"] if others else []
+    docs = docs.select("doc_id", "text", *[F.struct(*[docs[c] for c in others]).alias(c) for c in rest])
     counts = docs.sparkSession.sparkContext.broadcast(sketch(docs, k, lower=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,12 +90,13 @@ def _described(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                 prefixes.append(prefix.view(np.int64))
             size = len(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + size)), batch.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (s1, s2, g)], pa.array(prefixes, pa.list_(pa.int64())), batch.column("text")],
-                ["row", "doc_id", "n", "s1", "s2", "g", "prefix", "text"],
+                [pa.array(np.arange(row, row + size)), batch.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (s1, s2, g)], pa.array(prefixes, pa.list_(pa.int64())), *[batch.column(c) for c in ("text", *rest)]],
+                ["row", "doc_id", "n", "s1", "s2", "g", "prefix", "text", *rest],
             )
             row += size
 
-    return docs.mapInArrow(tidied(run), "row long, doc_id long, n long, s1 long, s2 long, g long, prefix array<long>, text string")
+    schema = StructType.fromDDL("row long, doc_id long, n long, s1 long, s2 long, g long, prefix array<long>, text string")
+    return docs.mapInArrow(tidied(run), StructType([*schema.fields, *[docs.schema[c] for c in rest]]))
 
 
 def _candidates(groups: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -193,12 +201,8 @@ def _verify(rows: list[tuple], num: int, den: int) -> list[tuple[int, int, int]]
     return list(zip(nodes.tolist(), root.tolist(), links.tolist(), strict=True))
 
 
-def similar(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id of the component), n_links (rows linked with it).
-
-    Two rows are linked if den * intersection >= num * union of their sets.
-    """
-    docs = only(docs, "doc_id", "text")
+def _joined(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(all rows as described, and row, doc_id, n, c, n_links of those with a set): c names a row's component."""
     rows = materialise(_described(docs, k, num, den), "sets")
     full = rows.where("n > 0")
     nodes = full.groupBy("s1", "s2", "n", "g").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies"))
@@ -270,8 +274,16 @@ def similar(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataF
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     labels = nodes.join(joined, "node", "left").join(links, "node", "left").select("s1", "s2", "n", "copies", F.coalesce("c", "node").alias("c"), F.coalesce("links", F.lit(0)).alias("links"))
     labels = materialise(labels, "labels")
-    keyed = full.select("doc_id", "n", "s1", "s2").join(labels, ["s1", "s2", "n"])
-    keyed = materialise(keyed.select("doc_id", "n", "c", (F.col("links") + F.col("copies") - 1).alias("n_links")), "members")
+    keyed = full.select("row", "doc_id", "n", "s1", "s2").join(labels, ["s1", "s2", "n"])
+    return rows, materialise(keyed.select("row", "doc_id", "n", "c", (F.col("links") + F.col("copies") - 1).alias("n_links")), "members")
+
+
+def similar(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id of the component), n_links (rows linked with it).
+
+    Two rows are linked if den * intersection >= num * union of their sets.
+    """
+    rows, keyed = _joined(only(docs, "doc_id", "text"), k, num, den)
     # written first: then the join deals both sides out itself and may split a large component
     least = materialise(keyed.groupBy("c").agg(F.min("doc_id").alias("component_id")), "least")
     out = keyed.join(least, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
@@ -280,10 +292,15 @@ def similar(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataF
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of docs without those whose component has a smaller doc_id; all columns as they are.
+    """One row of each component, that of the smallest doc_id; rows without words all stay; all columns as they are.
 
-    Rows that share a doc_id count as one document.
+    Rows are told apart by their own numbers: of equal ids in a component one row
+    stays, a row of another component stays whatever its id, and a null id comes
+    after all others.
     """
-    names = docs.columns
-    gone = similar(docs, k, num, den).where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").select(*[docs[c] for c in names])
+    rows, keyed = _joined(docs, k, num, den)
+    first = keyed.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("m"))
+    first = materialise(first.where("m > 1").select("c", F.col("first.row").alias("first")), "first")
+    gone = keyed.join(first, "c").where("row <> first").select("row")
+    names = [F.col(c) if c in ("doc_id", "text") else F.col("rest").getField(c).alias(c) for c in docs.columns]
+    return rows.join(gone, "row", "left_anti").select(*names)

@@ -84,3 +84,17 @@ def test_a_large_group_of_different_near_copies(spark):
     d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = similar(d).groupBy("component_id", "n_links").count().collect()
     assert [tuple(r) for r in got] == [(0, 899, 900)]
+
+
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    a, b, near = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, near + " x"), (3, near), (3, near), (None, a), (None, "alone is this one text"), (4, None), (4, None), (5, b)]
+    d = spark.createDataFrame([(i, t, str(n), n, {"k": n}) for n, (i, t) in enumerate(rows)], "doc_id long, text string, c string, row int, rest map<string,int>")
+    out = one_of_each(d)
+    assert out.columns == d.columns and out.schema["rest"].dataType == d.schema["rest"].dataType
+    got = [(r.doc_id, r.text, r.c, r.row, r.rest) for r in out.collect()]
+    assert all((r[0], r[1]) == rows[r[3]] and r[2] == str(r[3]) and r[4] == {"k": r[3]} for r in got)
+    left = sorted(r[3] for r in got)
+    assert len(left) == 6 and {0, 2, 7, 8, 9} <= set(left) and (set(left) & {3, 4, 5})
+    plain = one_of_each(d.select("text", "doc_id"))
+    assert plain.columns == ["text", "doc_id"] and plain.count() == 6
