@@ -140,7 +140,8 @@ def mixed(docs: DataFrame, repeats: float = 2.0, seed: int = 11) -> DataFrame:
 
     All columns are carried as they are.
     """
-    rows = docs.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("salt"), _named(F.col("source")).alias("source"), tokens_of(F.col("text")).alias("tokens"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = docs.select(F.col("doc_id").alias("key"), F.monotonically_increasing_id().alias("salt"), _named(F.col("source")).alias("source"), tokens_of(F.col("text")).alias("tokens"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = materialise(rows, "numbered")  # row numbers must not change when a task runs again, and tell equal rows apart
     totals = rows.groupBy("source").agg(F.sum("tokens").alias("total"), F.count(F.lit(1)).alias("docs"))
     plan = materialise(quotas(totals, 1.0, None, repeats, True), "quotas")
     # the texts go along to their hashed block, one shuffle; a join by doc_id would need one too and could not tell repeated rows apart

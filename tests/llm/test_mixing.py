@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from termloom.llm import mixing
 from termloom.llm.mixing import mixed, mixture
 
 
@@ -106,3 +107,16 @@ def test_null_sources_repeated_rows_and_impossible_limits(spark):
     assert mixed(d).count() >= 150
     with pytest.raises(ValueError):
         mixture(d, budget=3.0, repeats=2.0)
+
+
+def test_equal_rows_are_dealt_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 200)
+    held = []
+    draws = mixing._draws
+    monkeypatch.setattr(mixing, "_draws", lambda rows, *rest: held.append(rows) or draws(rows, *rest))
+    rows = [(7, "the same row", "s")] * 4000 + [(i, "another row", "s") for i in range(100, 4100)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert mixed(d).count() == 8000
+    part = mixing.F.floor(mixing.unit(mixing.F.lit(11), mixing.F.lit(1), mixing.F.col("key"), mixing.F.col("salt")) * 40)
+    sizes = [r["count"] for r in held[0].groupBy(part).count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 300
