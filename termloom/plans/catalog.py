@@ -247,7 +247,7 @@ def script_guard(spark: SparkSession, d: str) -> DataFrame:
     return _tokens(spark, d).select("doc_id", "i", morph.new_letters(F.col("base"), F.col("span"), "a-z").alias("new_latin"))
 
 
-@query(f"WITH {TOKENS}, j AS (SELECT a.doc_id, a.i, len(list_filter(string_split(a.base || ' ' || a.span, ' '), lambda x: x <> '')) AS x, len(list_filter(string_split(b.base, ' '), lambda x: x <> '')) AS y FROM tok a JOIN tok b ON a.doc_id = b.doc_id AND b.i = a.i + 1) SELECT doc_id, i, x = y AS same FROM j")
+@query(f"WITH {TOKENS}, j AS (SELECT doc_id, i, base, span, lead(base) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM tok), k AS (SELECT doc_id, i, len(list_filter(string_split(base || ' ' || span, ' '), lambda x: x <> '')) AS x, len(list_filter(string_split(next, ' '), lambda x: x <> '')) AS y FROM j WHERE next IS NOT NULL) SELECT doc_id, i, x = y AS same FROM k")
 def word_count_guard(spark: SparkSession, d: str) -> DataFrame:
     t = _tokens(spark, d)
     after = t.select("doc_id", (F.col("i") - 1).alias("i"), F.col("base").alias("next"))
