@@ -381,7 +381,7 @@ def content_direction(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("file").agg(names.content_direction(F.when(F.col("pos") % 3 == 0, zh).otherwise(F.col("src")), F.when(F.col("pos") % 4 == 0, zh).otherwise(F.col("src"))).alias("direction"))
 
 
-@query()
+@query(f"WITH {PAIRS} SELECT 'zh-es_a_b_' || conv_id || '_' || turn || '_align.qc.json' AS file, 'a/b' AS layer, 1 AS pos, CAST(1 AS BIGINT) AS out_id, trim(coalesce(src, ''), chr(32) || chr(9) || chr(10) || chr(13)) AS src, trim(coalesce(tgt, ''), chr(32) || chr(9) || chr(10) || chr(13)) AS tgt, regexp_matches(coalesce(src, ''), '\\p{{L}}') AND regexp_matches(coalesce(tgt, ''), '\\p{{L}}') AS usable FROM pairs")
 def tolerant_parse(spark: SparkSession, d: str) -> DataFrame:
     """Every pair as a file in one of several broken shapes, read back."""
     from termloom.functions.tolerant import repair  # noqa: F401
