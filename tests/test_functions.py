@@ -144,3 +144,8 @@ def test_repair_undoes_lost_commas(value):
 @pytest.mark.parametrize(("answer", "want"), [("[]", ([], True)), ("", ([], False)), ("sorry", ([], False)), ("```json\n[1]\n```", ([1], True)), ('{"result": [2]}', ([2], True)), ("so: [3,] ok", ([3], True)), ('{"sent_id": 4}', ([{"sent_id": 4}], True)), ("［“a”，“b”］", (["a", "b"], True)), ('{"x": 1}', ([], False))])
 def test_answers(answer, want):
     assert answer_array(answer) == want
+
+
+def test_words_of_two_letters_share_a_stem():
+    assert morph.analyzed_error("su", "sus", "es", None, Toy()) is None and morph.analyzed_error("té", "tés", "fr", None, Toy()) is None
+    assert morph.analyzed_error("su", "la", "es", None, Toy()) == "other_word"
