@@ -22,7 +22,8 @@ Defined results: vectors that are null, zero, of another length than most, or
 hold null or non-finite components take no part; neither does a null vec_id.
 Rows that repeat a vec_id count once, by the nearest of their vectors; ties go
 to the smaller vec_id; a query with fewer candidates than k gets them all; an
-empty table gives an empty result; further columns are ignored.
+empty table gives an empty result; further columns are ignored.  Vectors whose
+squares leave the range of double are infinitely far, ties as above.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ QUEUE = 96
 NEAR, RATIO, ENOUGH = 1.15, 1.18, 40
 #: Share of the vector's distance that lists of one vector lie apart at least, squared.
 APART = 0.1
+#: Where the shortest vector's largest component is below this share of the longest one's, lists are searched in double precision.
+FLOOR = 1e-12
 #: Entries and queries of a task's matrix, and rows of a stretch where queries meet all rows.
 CHUNK, QUERIES, STRETCH = 2000, 500, 50_000
 
@@ -60,7 +63,7 @@ class Lists:
         """(centroids, distances) near each row of x, nearest first; -1 fills up. Best first over the graph, for all rows at once."""
         n, k = len(x), len(self.centroids)
         queue = min(queue, k)
-        x = x.astype(np.float32)
+        x = x.astype(self.centroids.dtype)
         entry = np.unique(np.linspace(0, k - 1, 16).astype(np.int32))
         seen = np.zeros((n, k), bool)
         seen[:, entry] = True
@@ -79,7 +82,7 @@ class Lists:
             new = self.graph[ids[at, best]]
             fresh = ~seen[at[:, None], new]
             seen[at[:, None], new] = True
-            more = np.full(new.shape, np.inf, np.float32)
+            more = np.full(new.shape, np.inf, x.dtype)
             row, col = np.nonzero(fresh)
             which = new[row, col]
             more[row, col] = norms[which] - 2 * np.einsum("ij,ij->i", x[at[row]], self.centroids[which])
@@ -115,10 +118,10 @@ class Lists:
         return np.concatenate([none, *rows]), np.concatenate([none, *lists])
 
 
-def clustered(x: np.ndarray, k: int, seed: int = 5, rounds: int = 10) -> np.ndarray:
+def clustered(x: np.ndarray, k: int, seed: int = 5, rounds: int = 10, kind: type = np.float32) -> np.ndarray:
     """At most k centroids, by k-means whose distances grow with a list's size."""
     rng = np.random.default_rng(seed)
-    x = x.astype(np.float32)
+    x = x.astype(kind)
     unique = np.unique(x, axis=0)
     k = max(1, min(k, len(unique)))
     c = unique[rng.choice(len(unique), k, replace=False)]
@@ -135,12 +138,12 @@ def clustered(x: np.ndarray, k: int, seed: int = 5, rounds: int = 10) -> np.ndar
         full = np.flatnonzero(count)
         new = unique[rng.integers(0, len(unique), k)]
         new[full] = np.add.reduceat(x[order], np.cumsum(count)[full] - count[full], axis=0) / count[full][:, None]
-        c = new.astype(np.float32)
+        c = new.astype(kind)
     return c
 
 
-def fit(x: np.ndarray, k: int, seed: int = 5, rounds: int = 10) -> Lists:
-    c = clustered(x, k, seed, rounds)
+def fit(x: np.ndarray, k: int, seed: int = 5, rounds: int = 10, kind: type = np.float32) -> Lists:
+    c = clustered(x, k, seed, rounds, kind)
     k = len(c)
     near = np.zeros((k, min(DEGREE, k - 1)), np.int32)
     for a in range(0, k, 1024):
@@ -182,11 +185,16 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, ratio: float = RAT
     """query_id, rank, vec_id, score: for the rows where `queries` holds, their k nearest others by Euclidean distance."""
     spark = vectors.sparkSession
     rows = only(vectors, "vec_id", "embedding").where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-    sizes = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
+    longest = F.array_max(F.transform("embedding", lambda e: F.abs(e.cast("double"))))
+    counts = rows.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("count"), F.max(longest).alias("most"), F.min(longest).alias("least"))
+    sizes = counts.orderBy(F.desc("count"), "d").limit(1).collect()
     schema = "query_id long, rank int, vec_id long, score double"
     if not sizes:
         return spark.createDataFrame([], schema)
     dim, n = sizes[0]["d"], sizes[0]["count"]
+    # lists are searched on vectors times a power of two, so that no square leaves the range; distances are of the vectors as they are
+    down = -int(np.frexp(sizes[0]["most"])[1])
+    precision = np.float32 if np.ldexp(sizes[0]["least"], down) > FLOOR else np.float64
     rows = rows.where(F.size("embedding") == dim)
     k_lists = max(1, min(MOST_LISTS, n // PER_LIST))
     sample = max(LEAST_SAMPLE, SAMPLE * k_lists)
@@ -194,7 +202,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, ratio: float = RAT
     share = rows if n <= sample else rows.where(place < int(1.1 * sample / n * (1 << 63)))
     # the sample doesn't depend on the order of rows: those that come first by hash, of a few more than are wanted
     chosen = share.orderBy(place, "vec_id", "embedding").limit(sample).select("vec_id", "embedding").toArrow()
-    lists = fit(_matrix(chosen["embedding"].combine_chunks(), dim), k_lists)
+    lists = fit(np.ldexp(_matrix(chosen["embedding"].combine_chunks(), dim), down), k_lists, kind=precision)
     shared = spark.sparkContext.broadcast((lists.centroids, lists.graph))  # MOST_LISTS centroids at most
     kind = vectors.schema["embedding"].dataType.simpleString()
 
@@ -203,7 +211,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, ratio: float = RAT
         for batch in batches:
             for a in range(0, batch.num_rows, 2000):
                 some = batch.slice(a, 2000)
-                at, own = places(lists, _matrix(some.column("embedding"), dim))
+                at, own = places(lists, np.ldexp(_matrix(some.column("embedding"), dim), down))
                 at = pa.array(at)
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), some.column("vec_id").take(at), some.column("embedding").take(at)], ["list", "id", "v"])
 
@@ -219,7 +227,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, ratio: float = RAT
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 some = batch.slice(a, 1000)
-                at, own = lists.wanted(_matrix(some.column("embedding"), dim), ratio, count.value, ENOUGH * k)
+                at, own = lists.wanted(np.ldexp(_matrix(some.column("embedding"), dim), down), ratio, count.value, ENOUGH * k)
                 at = pa.array(at)
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), some.column("vec_id").take(at), some.column("embedding").take(at)], ["list", "id", "v"])
 
@@ -289,6 +297,7 @@ def _compared(left: DataFrame, right: DataFrame, dim: int, k: int) -> DataFrame:
             q = queries[a : a + QUERIES]
             rough = norms[None, :] - 2 * q @ vectors.T
             m = min(k + 1, len(ids))
+            rough = np.where(np.isfinite(rough), rough, -np.inf)  # beyond double's squares: to be compared itself
             # all that rounding could put among the k nearest others; the distances themselves come from the vectors
             edge = np.partition(rough, m - 1, axis=1)[:, m - 1] + 1e-9 * (norms.max() + (q**2).sum(axis=1))
             out = []
