@@ -39,3 +39,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialise wrote and that no later step reads, before the session ends."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if not folder.rsplit("/", 1)[-1].startswith("termloom-"):
+                raise ValueError(f"{folder} is no intermediate table")
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

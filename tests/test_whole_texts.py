@@ -1,5 +1,6 @@
 """Queries over whole texts: words far into a text count like the first ones."""
 
+import os
 import random
 
 import duckdb
@@ -54,3 +55,16 @@ def test_delivery_and_ratios_of_whole_texts(spark, folder):
         total[r.lang] += sum("一" <= c <= "\u9fff" for c in bare) / len(bare) if bare else 0
     for r in catalog.queries()["cjk_ratio_stats"](spark, folder).collect():
         assert r.n == 8 and abs(r.total - total[r.lang]) < 1e-5
+
+
+def test_discarded_tables_are_gone_and_others_stay(spark, tmp_path):
+    from termloom.sources.scratch import discard, materialise
+
+    gone, kept = materialise(spark.range(10), "test-gone"), materialise(spark.range(5), "test-kept")
+    folder = gone.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    discard(gone)
+    assert not os.path.exists(folder) and kept.count() == 5
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    with pytest.raises(ValueError, match="no intermediate"):
+        discard(spark.read.parquet(str(tmp_path / "own")))
+    assert spark.read.parquet(str(tmp_path / "own")).count() == 3
