@@ -8,9 +8,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from termloom.sources.scratch import materialise
+from termloom.sources.scratch import discard, materialise
 
-__all__ = ["arrow_map", "materialise", "only", "table", "tidied"]
+__all__ = ["arrow_map", "discard", "materialise", "only", "table", "tidied"]
 
 #: Rows that a function over Arrow data sees at once: few, as their texts may be long.
 ROWS = 1000

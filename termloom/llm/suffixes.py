@@ -37,17 +37,20 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.bitfilter import bit_filter
-from termloom.llm.common import arrow_map, materialise, tidied
+from termloom.llm.common import arrow_map, discard, materialise, tidied
 from termloom.llm.wordhash import mix
 
 #: Bytes of an anchor, and bytes that are hashed at once.
 SEED, CHUNK = 64, 1 << 20
 #: Contents of one anchor from which it is cut finer, and strings of a segment then.
 SPLIT, FINER = 4000, (12, 1)
+#: How much wider than others the filter of anchors to be cut is.
+HOT_BITS = 16
 #: Bytes of a batch, and bytes of a family of levels from which the next anchor begins a new one.
 BATCH, FAMILY = 1 << 18, 1 << 23
 _PLACE = np.uint64((1 << 24) - 1)
@@ -253,6 +256,8 @@ def _lists(batch: pa.RecordBatch, found: list[tuple[np.ndarray, ...]], schema: s
     row, *values = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),)
     if not len(row):
         return None
+    order = np.argsort(row, kind="stable")
+    row, values = row[order], [v[order] for v in values]
     rows, at = np.unique(row, return_index=True)
     offsets = pa.array(np.append(at, len(row)), pa.int32())
     lists = [pa.ListArray.from_arrays(offsets, pa.array(v.view(np.int64) if v.dtype == np.uint64 else v).cast(k.value_type)) for v, k in zip(values, kinds, strict=True)]
@@ -260,15 +265,48 @@ def _lists(batch: pa.RecordBatch, found: list[tuple[np.ndarray, ...]], schema: s
     return pa.RecordBatch.from_arrays([batch.column("doc_id").take(keep), batch.column("t").take(keep), *lists], [c.split()[0] for c in schema.split(", ")])
 
 
-def _segments(docs: DataFrame, size: int, shared) -> DataFrame:
-    """Of each document the segments whose anchor may recur."""
+def _cut(data: np.ndarray, offsets: np.ndarray, part: tuple[np.ndarray, ...], width: int, size: int) -> tuple[np.ndarray, ...]:
+    """Segments cut so that the anchor's distance from a string's start falls into one stretch of `width`.
+
+    Strings of a piece share the bytes from the last one's start to the first
+    one's end, so those, with the stretch, are the piece's new anchor.
+    """
+    row, start, strings, lead, seed, _ = part
+    # the string at start + k has its anchor lead - k bytes in; stretches are those of equal (lead - k) // width
+    low, high = (lead - strings + 1) // width, lead // width
+    own = np.repeat(np.arange(len(row)), high - low + 1)
+    stretch = np.arange(len(own)) - np.repeat(np.cumsum(high - low + 1) - high - 1, high - low + 1)
+    most, least = np.minimum(lead[own], stretch * width + width - 1), np.maximum(lead[own] - strings[own] + 1, stretch * width)
+    first, n = start[own] + lead[own] - most, most - least + 1
+    # the widest piece that any segment can have here, whatever its own length
+    ahead = start[own] + lead[own] - stretch * width
+    base = offsets[row[own]]
+    anchors, contents = np.zeros(len(own), np.uint64), np.zeros(len(own), np.uint64)
+    for j, (a, b, c, d, x, s) in enumerate(zip(*(v.tolist() for v in (base + ahead, base + ahead - width + 1 + size, base + first, base + first + n + size - 1, stretch, seed[own])), strict=True)):
+        anchors[j] = _digest(data[a:b].tobytes() + x.to_bytes(2, "little") + s.to_bytes(8, "little"))
+        contents[j] = _digest(data[c:d].tobytes())
+    return row[own], first, n, ahead - first, anchors, contents
+
+
+def _segments(docs: DataFrame, size: int, shared: Broadcast, cuts: tuple[tuple[int, Broadcast], ...] = ()) -> DataFrame:
+    """Of each document the segments whose anchor may recur; those of the anchors that a filter of `cuts` holds are cut to its width.
+
+    Pieces meet the next filter.  All segments of an anchor are cut or none, so
+    what a filter lets through in error is only cut finer.
+    """
 
     def make():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            data, offsets = texts_of(batch.column("text"))
             found = []
             for part in segments_of(batch.column("text"), size):
                 hit = shared.value.holds(part[4])
-                found.append(tuple(x[hit] for x in part))
+                part = tuple(x[hit] for x in part)
+                for width, often in cuts:
+                    hot = often.value.holds(part[4])
+                    found.append(tuple(x[~hot] for x in part))
+                    part = _cut(data, offsets, tuple(x[hot] for x in part), width, size)
+                found.append(part)
             return _lists(batch, found, SEGMENTS, _KINDS)
 
         return each
@@ -284,7 +322,9 @@ def _recurring(docs: DataFrame, size: int):
 
     again = docs.select("text").mapInArrow(tidied(anchors), "seed long").groupBy("seed").count().where("count > 1").select("seed")
     again = materialise(again, "anchors")
-    return bit_filter(again, again.count())
+    held = bit_filter(again, again.count())
+    discard(again)
+    return held
 
 
 def _placed(rows: DataFrame) -> DataFrame:
@@ -299,45 +339,6 @@ def _with_texts(docs: DataFrame, spots: DataFrame) -> DataFrame:
     return docs.join(spots, docs["doc_id"].eqNullSafe(spots["d"]) & (docs["t"] == spots["h"])).select("doc_id", "t", "text", "spots")
 
 
-def _finer(docs: DataFrame, places: DataFrame, width: int, size: int) -> DataFrame:
-    """places cut so that the anchor's distance from a string's start falls into one stretch of `width`.
-
-    Strings of a piece share the bytes from the last one's start to the first
-    one's end, so those, with the stretch, are the piece's new anchor.
-    """
-    # rows that repeat a document say the same; each of them meets what is collected of one, so no count is lost
-    spots = places.select("doc_id", "t", "start", "strings", "lead", "seed").distinct().groupBy(F.col("doc_id").alias("d"), F.col("t").alias("h")).agg(F.collect_list(F.struct("start", "strings", "lead", "seed")).alias("spots"))
-
-    def make():
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            data, offsets = texts_of(batch.column("text"))
-            found = []
-            for i, spots in enumerate(batch.column("spots").to_pylist()):
-                for a in range(0, len(spots), 1000):
-                    start, strings, lead, seed = (np.array([s[c] for s in spots[a : a + 1000]], np.int64) for c in ("start", "strings", "lead", "seed"))
-                    # the string at start + k has its anchor lead - k bytes in; stretches are those of equal (lead - k) // width
-                    low, high = (lead - strings + 1) // width, lead // width
-                    own = np.repeat(np.arange(len(start)), high - low + 1)
-                    stretch = np.concatenate([np.arange(x, y + 1) for x, y in zip(low, high, strict=True)])
-                    most, least = np.minimum(lead[own], stretch * width + width - 1), np.maximum(lead[own] - strings[own] + 1, stretch * width)
-                    first, n = start[own] + lead[own] - most, most - least + 1
-                    # the widest piece that any segment can have here, whatever its own length
-                    ahead = start[own] + lead[own] - stretch * width
-                    for f, k, y, x, s in zip(first.tolist(), n.tolist(), ahead.tolist(), stretch.tolist(), seed[own].tolist(), strict=True):
-                        shared = data[offsets[i] + y : offsets[i] + y - width + 1 + size]
-                        piece = data[offsets[i] + f : offsets[i] + f + k + size - 1]
-                        anchor = _digest(shared.tobytes() + x.to_bytes(2, "little") + s.to_bytes(8, "little", signed=True))
-                        found.append((i, f, k, y - f, anchor, _digest(piece.tobytes())))
-            if not found:
-                return None
-            row, *rest = (np.array(c, np.uint64 if k > 3 else np.int64) for k, c in enumerate(zip(*found, strict=True)))
-            return _lists(batch, [(row, *rest)], SEGMENTS, _KINDS)
-
-        return each
-
-    return _placed(arrow_map(_with_texts(docs, spots), make, SEGMENTS))
-
-
 def _digest(held: bytes) -> int:
     return int.from_bytes(sha256(held).digest()[:8], "little")
 
@@ -426,19 +427,23 @@ def repeated_strings(docs: DataFrame, size: int = 200) -> DataFrame:
     context = docs.sparkSession.sparkContext
     docs = docs.select("doc_id", F.xxhash64("text").alias("t"), "text")
     shared = context.broadcast(_recurring(docs, size))  # 2**MOST bits at most
-    places = _placed(materialise(_segments(docs, size, shared), "segments"))
-    different, kinds = _contents(places)
+    segments, cuts = materialise(_segments(docs, size, shared), "segments"), []
+    different, kinds = _contents(_placed(segments))
     for width in FINER:
         hot = materialise(kinds.where(F.col("kinds") > SPLIT).select("seed"), "hot-anchors")
         if hot.isEmpty():
             break
-        some = materialise(places.join(hot, "seed", "left_semi"), "hot-places")
-        places = materialise(places.join(hot, "seed", "left_anti").unionByName(_finer(docs, some, width, size)), "places")
-        different, kinds = _contents(places)
+        # cut where the texts are read, so none is dealt out for it; a filter of 2**MOST bits at most
+        cuts.append((width, context.broadcast(bit_filter(hot, HOT_BITS * hot.count()))))
+        discard(segments, different, kinds, hot)
+        segments = materialise(_segments(docs, size, shared, tuple(cuts)), "segments")
+        different, kinds = _contents(_placed(segments))
+    places = _placed(segments)
     joined = different.join(kinds, "seed")
     alone = joined.where("kinds = 1 and n > 1").select("seed", "content", F.array(F.lit(0)).alias("offsets"), F.array("strings").alias("lengths"))
     among = _scanned(_bytes_of(docs, joined.where("kinds > 1"), size), size)
     found = materialise(alone.unionByName(among), "repeats")
+    discard(different, kinds)
     each = places.join(found, ["seed", "content"]).select("doc_id", "t", "start", F.explode(F.arrays_zip("offsets", "lengths")).alias("w"))
     return each.select("doc_id", "t", (F.col("start") + F.col("w.offsets")).alias("at"), F.col("w.lengths").alias("length")).groupBy("doc_id", "t", "at").agg(F.max("length").alias("length"))
 
