@@ -11,7 +11,9 @@ that stand within the best window, so far-off matches don't add up.  Phrases tha
 tell one licence from another (its name, its version) must be aligned word for
 word.  A short statement is the same alignment of a sentence that ends in a
 licence's name, all of which must stand there; a family's name without a version
-that is known gives the family alone (GPL, BSD, Apache).
+that is known gives the family alone (GPL, BSD, Apache).  Names joined by "or" or
+"and" count each; so does what follows an SPDX tag.  A statement that holds a
+denial, or has one up to two words before it in its sentence, is none.
 
 The library: whole notices of MIT, ISC, BSD-2-Clause, BSD-3-Clause, MPL-2.0,
 Unlicense and Zlib, the usual file headers of Apache-2.0, GPL, LGPL and AGPL, and
@@ -60,6 +62,14 @@ NOTICES = {
 # Sentences that put a work under a licence, whose name stands at {}.
 STATEMENTS = ["licensed under {}", "released under {}", "distributed under {}", "available under {}", "licensed under the {}", "released under the {}", "distributed under the {}", "distributed under the terms of the {}", "available under the {}", "published under the {}", "this work is licensed under a {}", "this work is licensed under the {}"]
 
+# The tag before an identifier, its endings and what is kept of them; words that join names; words that deny, and the end of a sentence.
+TAG, TAG_ENDS = "spdx-license-identifier", {"-or-later": "-or-later", "-only": ""}
+JOINING = {"or", "and"}
+DENIALS = {"not", "never", "neither", "nor", "cannot", "isn't", "aren't", "wasn't"}
+SENTENCE_END = re.compile(r"[.!?;\n]")
+#: Words before a statement in which a denial counts.
+DENIED_BEFORE = 2
+
 
 def licence_names() -> list[tuple[str, str]]:
     """(SPDX name, name as written) of common licences; families by their rule, without a version as the family alone."""
@@ -252,17 +262,46 @@ class Statements:
         self.forms = [[w for w, _, _ in words_of(x.format(""))] for x in STATEMENTS]
         self.reach = 2 * max(map(len, self.forms))
 
+    def named(self, words: list[str], i: int) -> tuple[int, str] | None:
+        """(words of it, licence) of the longest name that begins at i."""
+        found = max(((len(own), spdx) for spdx, own in self.by_word.get(words[i], ()) if words[i : i + len(own)] == own), default=None) if i < len(words) else None
+        if not found and i < len(words):  # identifiers that end so are one word
+            for end, kept in TAG_ENDS.items():
+                if words[i].endswith(end) and (base := self.named([words[i].removesuffix(end)], 0)):
+                    return base[0], base[1] + kept
+        return found
+
+    def further(self, words: list[str], i: int) -> list[tuple[int, int, str]]:
+        """(place, words of it, licence) of the names joined by "or" or "and" to one that ends at i."""
+        out = []
+        while i < len(words) and words[i] in JOINING:
+            while i < len(words) and words[i] in JOINING | {"the", "a", "under"}:
+                i += 1
+            if not (name := self.named(words, i)):
+                break
+            out.append((i, *name))
+            i += name[0]
+        return out
+
     def notices(self, words: list[str], bag: set[str]) -> list[tuple[str, int, int, int, int]]:
-        """(licence, words of the statement, aligned ones, first, end) of every name with a sentence before it."""
+        """(licence, words of the statement, aligned ones, first, end) of every name with a sentence or a tag before it.
+
+        A further name joined to the first has the same sentence, and its own place.
+        """
         out: list[tuple[str, int, int, int, int]] = []
+        if TAG in bag:
+            for i, w in enumerate(words):
+                if w == TAG and (name := self.named(words, i + 1)):
+                    out.append((name[1], 1 + name[0], 1 + name[0], i, i + 1 + name[0]))
+                    out += [(spdx, 1 + n, 1 + n, j, j + n) for j, n, spdx in self.further(words, i + 1 + name[0])]
         known = self.by_word.keys() & bag
         if not known or "under" not in bag:
             return out
         for i, w in enumerate(words):
             if w in known:
-                longest = max(((len(own), spdx, own) for spdx, own in self.by_word[w] if words[i : i + len(own)] == own), default=None)
-                if longest:
-                    size, spdx, own = longest
+                name = self.named(words, i)
+                if name:
+                    size, spdx = name
                     lo = max(0, i - self.reach)
                     tries = []
                     for form in self.forms:
@@ -272,9 +311,17 @@ class Statements:
                     if tries:
                         _, n, total, first = max(tries)
                         out.append((spdx, total, n + size, first, i + size))
+                        out += [(other, total - size + m, n + m, j, j + m) for j, m, other in self.further(words, i + size)]
         return out
 
 
+def denied(text: str, placed: list[tuple[str, int, int]], first: int, end: int) -> bool:
+    """Whether a word that denies stands in a statement, or just before it in the same sentence."""
+    lo = max(0, first - DENIED_BEFORE)
+    denies = lambda j: placed[j][0] in DENIALS or placed[j][0] == "no" and placed[j + 1][0] == "longer"
+    return any(denies(j) and (j >= first or not SENTENCE_END.search(text[placed[j][2] : placed[first][1]])) for j in range(lo, end - 1))
+
+
 class Library:
     """All that is looked for, made once a task."""
 
@@ -291,7 +338,14 @@ def notices(text: str, library: Library) -> list[tuple[str, int, int, int, int]]
     placed = words_of(text)
     words = [w for w, _, _ in placed]
     bag = set(words)
-    out = [(name, n, k, placed[a][1], placed[b - 1][2]) for name, n, k, a, b in library.statements.notices(words, bag)]
+    stated, no = library.statements.notices(words, bag), -1
+    out = []
+    for name, n, k, a, b in stated:
+        # names joined to a denied one are denied with it
+        if denied(text, placed, a, b) or 0 <= no <= a and a - no <= len(JOINING) + 3 and not SENTENCE_END.search(text[placed[no - 1][2] : placed[a][1]]):
+            no = b
+        else:
+            out.append((name, n, k, placed[a][1], placed[b - 1][2]))
     if not library.signs.isdisjoint(bag):
         for t in library.templates:
             if t.signs.isdisjoint(bag) or len(words) < t.need:

@@ -113,3 +113,25 @@ def test_long_texts_like_licences():
     began = time.monotonic()
     notices(text, LIBRARY)
     assert time.monotonic() - began < 60
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("This is not licensed under the MIT License.", []),
+        ("It is not licensed under the GPL", []),
+        ("It is no longer released under the MIT License or the Apache License, Version 2.0.", []),
+        ("No warranty, licensed under the MIT License.", ["MIT"]),
+        ("Ask or not. Licensed under the MIT License.", ["MIT"]),
+        ("Not licensed under the GPL. Licensed under the MIT License.", ["MIT"]),
+        ("Licensed under the Apache License, Version 2.0 or the MIT License.", ["Apache-2.0", "MIT"]),
+        ("Licensed under MIT or Apache-2.0", ["MIT", "Apache-2.0"]),
+        ("Licensed under the MIT License and you may or may not like it", ["MIT"]),
+        ("# SPDX-License-Identifier: MIT\nimport x", ["MIT"]),
+        ("SPDX-License-Identifier: GPL-3.0-or-later OR MIT", ["GPL-3.0-or-later", "MIT"]),
+        ("SPDX-License-Identifier: GPL-2.0-only", ["GPL-2.0"]),
+        ("SPDX-License-Identifier:", []),
+    ],
+)
+def test_denied_joined_and_tagged(text, want):
+    assert [n[0] for n in notices(text, LIBRARY)] == want
