@@ -9,8 +9,12 @@ within the first n - ceil(t n) + 1 of each.
 
 1. Equal sets become one node, and nodes with the same prefix and size one group.
 2. Groups that share a prefix shingle are paired under the size and position
-   filters, and the pairs are kept.  A shingle that stands in more than HOT
-   prefixes keeps the list of its groups instead of the pairs of it.
+   filters.  In a large corpus most such pairs share it by chance, so each set has
+   a parity sketch of about a bit a shingle: sketches differ in no more bits than
+   sets differ in shingles, so pairs whose sketches differ in too many are dropped
+   and no link is.  What is left is kept; a shingle that stands in more than HOT
+   prefixes is judged by sketches in tasks of its own and keeps the lists of groups
+   that hang together instead of their pairs.
 3. Groups expand to their nodes, which lie in blocks of bounded size.  Two
    blocks meet, in a task of their own, if a kept pair, a frequent shingle or a
    group reaches from one into the other and their sizes allow a link; a pair of
@@ -41,13 +45,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from termloom.llm.common import materialise, only, tidied
+from termloom.llm.bitfilter import bit_filter
+from termloom.llm.common import discard, materialise, only, tidied
 from termloom.llm.components import components
 from termloom.llm.sketch import rarest_first, sketch
 from termloom.llm.wordhash import WordHasher, mix, shingles
 
 #: Prefixes that share a shingle beyond which it pairs blocks instead of groups; nodes of a block.
 HOT, BLOCK = 24, 384
+#: Groups of a frequent shingle that meet in one task, on each side; bytes of a sketch at least.
+PART, LEAST = 1024, 16
 #: Matrix columns at a time while verifying.
 COLUMNS = 8192
 #: Bytes of sets that go to Spark at once.
@@ -65,6 +72,65 @@ def prefix_size(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den) + 1
 
 
+def parity(s: np.ndarray) -> bytes:
+    """A bit for each cell that holds an odd number of the set's hashes; as many cells as hashes, up to a power of two."""
+    cells = max(8 * LEAST, 1 << (len(s) - 1).bit_length())
+    odd = np.bincount((mix(s ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def folded(rows: np.ndarray, size: int) -> np.ndarray:
+    """Sketches (one a row) as they are with `size` bytes."""
+    while rows.shape[-1] > size:
+        half = rows.shape[-1] // 2
+        rows = rows[..., :half] ^ rows[..., half:]
+    return rows
+
+
+def alike(x: bytes | None, y: bytes | None, total: int, num: int, den: int) -> bool:
+    """Whether sets of `total` hashes together may be linked by their sketches; without one they may."""
+    if x is None or y is None:
+        return True
+    a, b = (folded(np.frombuffer(v, np.uint8), min(len(x), len(y))) for v in (x, y))
+    return (num + den) * int(np.bitwise_count(a ^ b).sum()) <= (den - num) * total
+
+
+def near(n: np.ndarray, pos: np.ndarray, sketches: list[bytes | None], sides: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which pairs of sets that share a shingle (at place pos of each) may be linked, as a matrix; pairs within one of two sides are left out."""
+    order = np.argsort(n, kind="stable")
+    n, pos, sides, sketches = n[order], pos[order], sides[order], [sketches[i] for i in order]
+    some = np.array([x is not None for x in sketches])
+    size = np.array([max(LEAST, (1 << int(m - 1).bit_length()) // 8) for m in n])
+    last = np.searchsorted(n, n * den // num, side="right")
+    out = np.zeros((len(n), len(n)), bool)
+    for own in np.unique(size):
+        first, end = np.searchsorted(size, [own, own + 1])
+        top = last[end - 1]
+        held = np.array([folded(np.frombuffer(x, np.uint8), own) if x is not None else np.zeros(own, np.uint8) for x in sketches[first:top]]).view(np.uint64)
+        for i in range(first, end):
+            j = np.arange(i + 1, last[i])
+            ok = (num + den) * np.minimum(n[i] - pos[i], n[j] - pos[j]) >= num * (n[i] + n[j])
+            j = j[ok & ((sides[i] == 2) | (sides[j] != sides[i]))]
+            if len(j):
+                differ = np.bitwise_count(held[j - first] ^ held[i - first]).sum(axis=1, dtype=np.int64)
+                j = j[~(some[i] & some[j]) | ((num + den) * differ <= (den - num) * (n[i] + n[j]))]
+                out[order[i], order[j]] = out[order[j], order[i]] = True
+    return out
+
+
+def roots(nodes: np.ndarray, link: np.ndarray) -> np.ndarray:
+    """For each node the least one that it hangs together with."""
+    root, todo = nodes.copy(), np.ones(len(nodes), bool)
+    for i in np.argsort(nodes):
+        if todo[i]:
+            todo[i], front = False, [i]
+            while front:
+                root[front] = nodes[i]
+                new = np.flatnonzero(link[front].any(axis=0) & todo)
+                todo[new], front = False, new.tolist()
+    return root
+
+
 def _described(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """A row for each document: its own number, set size and signature, prefix and the prefix's hash, and all columns as they are.
 
@@ -78,7 +144,7 @@ def _described(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, cells, row = WordHasher(lower=True), counts.value, TaskContext.get().partitionId() << 36
         for batch in batches:
-            n, s1, s2, g, prefixes = [], [], [], [], []
+            n, s1, s2, g, prefixes, sketches = [], [], [], [], [], []
             for _, s in _sets(batch.column("text"), hasher, k):
                 n.append(len(s))
                 order = np.argsort(rarest_first(s, cells), kind="stable")
@@ -88,27 +154,87 @@ def _described(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     s2.append(mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64))
                     g.append(mix(prefix + np.uint64(7)).sum(dtype=np.uint64))
                 prefixes.append(prefix.view(np.int64))
+                sketches.append(parity(s) if len(s) else None)
             size = len(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + size)), batch.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (s1, s2, g)], pa.array(prefixes, pa.list_(pa.int64())), *[batch.column(c) for c in ("text", *rest)]],
-                ["row", "doc_id", "n", "s1", "s2", "g", "prefix", "text", *rest],
+                [pa.array(np.arange(row, row + size)), batch.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (s1, s2, g)], pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), *[batch.column(c) for c in ("text", *rest)]],
+                ["row", "doc_id", "n", "s1", "s2", "g", "prefix", "sketch", "text", *rest],
             )
             row += size
 
-    schema = StructType.fromDDL("row long, doc_id long, n long, s1 long, s2 long, g long, prefix array<long>, text string")
+    schema = StructType.fromDDL("row long, doc_id long, n long, s1 long, s2 long, g long, prefix array<long>, sketch binary, text string")
     return docs.mapInArrow(tidied(run), StructType([*schema.fields, *[docs.schema[c] for c in rest]]))
 
 
+def _postings(groups: DataFrame) -> DataFrame:
+    """(token, m, gid, n, pos) of shingles that stand in m > 1 prefixes."""
+    often = groups.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    often = materialise(often, "often")
+    held = groups.sparkSession.sparkContext.broadcast(bit_filter(often.select(F.xxhash64("token")), often.count()))  # 32 MB at most
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.flatnonzero(held.value.holds(np.asarray(batch.column("h")).view(np.uint64)))
+            yield batch.take(pa.array(at)).drop_columns(["h"])
+
+    rows = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token")).withColumn("h", F.xxhash64("token"))
+    rows = rows.mapInArrow(tidied(explode), "gid long, n long, pos int, token long")
+    # dealt out at every size: only what the filter lets through
+    shared = materialise(rows.hint("merge").join(often, "token"), "postings")
+    discard(often)
+    return shared
+
+
 def _candidates(groups: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of groups that pass the filters, and (key, gid, m, hub) of groups that share a frequent shingle."""
-    postings = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
-    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("gid").alias("hub")).where("m > 1")
-    shared = materialise(postings.join(often, "token"), "postings")
+    """Pairs (a, b) of groups that pass the filters, and (key, gid, m, hub): m groups that hang together over a frequent shingle, hub the least."""
+    shared = _postings(groups)
     few = shared.where(F.col("m") <= HOT)
     a, b = (few.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("gid", "n", "pos")]) for side in "ab")
     fits = (F.col("gid_a") < F.col("gid_b")) & (den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")) & ((num + den) * F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= num * (F.col("n_a") + F.col("n_b")))
-    pairs = materialise(a.join(b, "token").where(fits).select(F.col("gid_a").alias("a"), F.col("gid_b").alias("b")).distinct(), "pairs")
-    return pairs, shared.where(F.col("m") > HOT).select(F.col("token").alias("key"), "gid", "m", "hub")
+    pairs = a.join(b, "token").where(fits).select(F.col("gid_a").alias("a"), F.col("gid_b").alias("b"), (F.col("n_a") + F.col("n_b")).alias("total")).distinct()
+    sketches = groups.select("gid", "sketch")
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, total = (batch.column(c).to_pylist() for c in ("x", "y", "total"))
+            at = pa.array([i for i, t in enumerate(total) if alike(x[i], y[i], t, num, den)], pa.int64())
+            yield batch.select(["a", "b"]).take(at)
+
+    for c, name in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(sketches.select(F.col("gid").alias(c), F.col("sketch").alias(name)), c)
+    pairs = materialise(pairs.mapInArrow(tidied(judged), "a long, b long"), "pairs")
+    parts = F.ceil(F.col("m") / PART).cast("int")
+    hot = shared.where(F.col("m") > HOT).join(sketches, "gid").withColumn("c", F.pmod(F.xxhash64("gid"), parts).cast("int"))
+    hot = hot.select("token", "gid", "n", "pos", "sketch", "c", F.explode(F.sequence(F.lit(0), parts - 1)).alias("o"))
+    side = F.when(F.col("c") == F.col("o"), 2).when(F.col("c") < F.col("o"), 0).otherwise(1).alias("side")
+    keys = ["token", "i", "j"]
+    hot = hot.select("token", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), side, "gid", "n", "pos", "sketch")
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            for *own, side, gid, n, pos, sketch in zip(*[batch.column(c).to_pylist() for c in (*keys, "side", "gid", "n", "pos", "sketch")], strict=True):
+                if own != key:
+                    if held:
+                        yield from together(key, held)
+                    key, held = own, []
+                held.append((side, gid, n, pos, sketch))
+        if held:
+            yield from together(key, held)
+
+    def together(key: list, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        sides, gids, n, pos = (np.array(c, np.int64) for c in list(zip(*held, strict=True))[:4])
+        link = near(n, pos, [r[4] for r in held], sides, num, den)
+        at = np.flatnonzero(link.any(axis=1))
+        if len(at):
+            root = roots(gids, link)[at]
+            _, which, m = np.unique(root, return_inverse=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*[pa.array(np.full(len(at), k), t) for k, t in zip(key, (pa.int64(), pa.int32(), pa.int32()), strict=True)], pa.array(gids[at]), pa.array(m[which]), pa.array(root)], [*keys, "gid", "m", "hub"])
+
+    hot = hot.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidied(gathered), "token long, i int, j int, gid long, m long, hub long")
+    hot = materialise(hot.select(F.xxhash64(*keys, "hub").alias("key"), "gid", "m", "hub"), "hot")
+    discard(shared)
+    return pairs, hot
 
 
 def _labels(pairs: DataFrame, hot: DataFrame) -> DataFrame:
@@ -189,16 +315,7 @@ def _verify(rows: list[tuple], num: int, den: int) -> list[tuple[int, int, int]]
     nodes = np.array([r[0] for r in rows])
     copies = np.array([r[3] for r in rows], dtype=np.int64)
     link = linked([np.frombuffer(r[2], np.uint64) for r in rows], np.array([r[1] for r in rows]), num, den)
-    links, root = link @ copies, nodes.copy()
-    todo = np.ones(len(nodes), bool)
-    for i in np.argsort(nodes):
-        if todo[i]:
-            todo[i], front = False, [i]
-            while front:
-                root[front] = nodes[i]
-                new = np.flatnonzero(link[front].any(axis=0) & todo)
-                todo[new], front = False, new.tolist()
-    return list(zip(nodes.tolist(), root.tolist(), links.tolist(), strict=True))
+    return list(zip(nodes.tolist(), roots(nodes, link).tolist(), (link @ copies).tolist(), strict=True))
 
 
 def _joined(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -208,8 +325,11 @@ def _joined(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Dat
     nodes = full.groupBy("s1", "s2", "n", "g").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies"))
     nodes = materialise(nodes, "nodes")
     groups = materialise(nodes.groupBy("n", "g").agg(F.min("node").alias("gid"), F.count(F.lit(1)).alias("members")), "groups")
-    heads = materialise(groups.join(full.select(F.col("row").alias("gid"), "prefix"), "gid").select("gid", "n", "prefix"), "heads")
+    # a sketch is of one set: groups of several have none, and no filter drops their pairs
+    sketch = F.when(F.col("members") == 1, F.col("sketch")).alias("sketch")
+    heads = materialise(groups.join(full.select(F.col("row").alias("gid"), "prefix", "sketch"), "gid").select("gid", "n", "prefix", sketch), "heads")
     pairs, hot = _candidates(heads, num, den)
+    discard(heads)
     labels = groups.join(_labels(pairs, hot), "gid", "left").where("label is not null or members > 1").select("n", "g", "gid", F.coalesce("label", "gid").alias("label"))
     placed = nodes.join(labels, ["n", "g"]).select("gid", "label", "node", "n", "copies")
     placed = materialise(_blocks(placed, num, den), "placed")
@@ -219,8 +339,17 @@ def _joined(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Dat
     turn = F.struct("x", "y", F.when(F.col("x") == F.col("y"), 2).otherwise(0).alias("side"))
     turns = tasks.select(F.col("x").alias("block"), turn.alias("turn")).unionByName(between.select(F.col("y").alias("block"), F.struct("x", "y", F.lit(1).alias("side")).alias("turn")))
     turns = turns.groupBy("block").agg(F.collect_list("turn").alias("turns"))  # as many as a block has partners
-    # texts are dealt out by row at every size, as they must be where no list of the wanted rows fits into memory
-    wanted = placed.join(turns, "block").select("node", "copies", "turns").hint("merge").join(full.select(F.col("row").alias("node"), "text"), "node")
+    chosen = bit_filter(placed.select(F.xxhash64("node")), placed.count())
+    held = docs.sparkSession.sparkContext.broadcast(chosen)  # 32 MB at most
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.flatnonzero(held.value.holds(np.asarray(batch.column("h")).view(np.uint64)))
+            yield batch.select(["node", "text"]).take(pa.array(at))
+
+    # texts are dealt out by row at every size, those that the filter of wanted rows lets through
+    texts = full.select(F.col("row").alias("node"), F.xxhash64("row").alias("h"), "text").mapInArrow(tidied(kept), "node long, text string")
+    wanted = placed.join(turns, "block").select("node", "copies", "turns").hint("merge").join(texts, "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(lower=True)

@@ -30,13 +30,13 @@ def sketch(docs: DataFrame, k: int, lower: bool) -> np.ndarray:
         full = [i for i in which if cells[i].any()]
         for a in range(0, len(full), 256):
             some = full[a : a + 256]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([cells[i].tobytes() for i in some], pa.binary())], ["row", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([cells[i].astype(np.min_scalar_type(cells[i].max())).tobytes() for i in some], pa.binary())], ["row", "cells"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for row, cells in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                counts = np.frombuffer(cells.as_buffer(), np.uint32).astype(np.uint64)
+                counts = numbers(cells.as_buffer()).astype(np.uint64)
                 sums[row] = sums[row] + counts if row in sums else counts
         top = np.uint64(0xFFFFFFFF)
         yield from emit({i: np.minimum(c, top).astype(np.uint32) for i, c in sums.items()}, sorted(sums))
@@ -44,10 +44,15 @@ def sketch(docs: DataFrame, k: int, lower: bool) -> np.ndarray:
     schema = "row int, cells binary"
     out = np.zeros((rows, ROW), np.uint32)
     for r in docs.select("text").mapInArrow(tidied(count), schema).repartition("row").mapInArrow(tidied(add), schema).toLocalIterator():
-        out[r["row"]] = np.frombuffer(r["cells"], np.uint32)
+        out[r["row"]] = numbers(r["cells"])
     return levels_of(out.reshape(-1))
 
 
+def numbers(row: bytes) -> np.ndarray:
+    """A row's counts, written with as many bytes each as its largest needs."""
+    return np.frombuffer(row, f"u{memoryview(row).nbytes // ROW}")
+
+
 def levels_of(counts: np.ndarray) -> np.ndarray:
     """Counts as sixteenths of powers of two: no large count is cut off, so what is frequent stands out at any size."""
     return np.floor(16 * np.log2(counts.astype(np.float64) + 1)).astype(np.uint16)

@@ -98,3 +98,46 @@ def test_one_row_of_each_component_whatever_the_ids(spark):
     assert len(left) == 6 and {0, 2, 7, 8, 9} <= set(left) and (set(left) & {3, 4, 5})
     plain = one_of_each(d.select("text", "doc_id"))
     assert plain.columns == ["text", "doc_id"] and plain.count() == 6
+
+
+def test_texts_that_share_shingles_by_chance_are_not_compared(spark, monkeypatch):
+    """Few words: nearly all texts share shingles of their prefixes, some of them very many, and only copies are alike."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(60, 90))) for _ in range(1500)]
+    texts += [t + " end" for t in texts[:40]]
+    written = {}
+
+    def noted(df, name, real=jaccard.materialise):
+        out = real(df, name)
+        written.setdefault(name, out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", noted)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.component_id, r.n_links) for r in similar(d).collect()}
+    assert got == {i: (i % 1500, int(i >= 1500 or i < 40)) for i in range(1540)}
+    assert written["postings"] > 5000
+    assert written["links"] < 160
+
+
+@pytest.mark.parametrize(("num", "parts"), [(90, 1024), (80, 16), (40, 5)])
+def test_sketches_drop_no_linked_pair(num, parts):
+    import numpy as np
+
+    rng = np.random.default_rng(num)
+    base = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    sets = []
+    for _ in range(160):
+        own = base[: rng.integers(1, 3000) if rng.random() < 0.5 else 130]
+        own = np.concatenate([own[rng.random(len(own)) < rng.choice([1, 0.97, 0.8, 0.6])], rng.integers(0, 1 << 63, rng.integers(0, 20)).astype(np.uint64)])
+        sets.append(np.unique(own if len(own) else base[:1]))
+    n, held = np.array([len(s) for s in sets]), [None if i % 40 == 7 else jaccard.parity(s) for i, s in enumerate(sets)]
+    sides = rng.integers(0, 2, len(sets)) if parts == 16 else np.full(len(sets), 2)
+    got = jaccard.near(n, np.zeros(len(sets), np.int64), held, sides, num, 100)
+    linked = jaccard.linked(sets, sides, num, 100)
+    assert linked.any() and not (linked & ~got).any() and (got == got.T).all()
+    for i in range(len(sets)):
+        for j in range(i):
+            apart = sides[i] == sides[j] != 2
+            size = 100 * min(n[i], n[j]) >= num * max(n[i], n[j])
+            assert got[i, j] == (not apart and size and jaccard.alike(held[i], held[j], int(n[i] + n[j]), num, 100))
