@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from termloom.llm import bpe, jaccard, langid, mixing, queries, secretscan
-from termloom.llm.common import materialise, table
+from termloom.llm.common import discard, materialise, table
 
 
 #: Rows of documents that go to a Python worker at once: whole texts, so memory goes with them.
@@ -61,7 +61,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, spent = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(*spent)  # what this stage has read
+        spent = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

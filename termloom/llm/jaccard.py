@@ -430,6 +430,7 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     rows, keyed = _joined(docs, k, num, den)
     first = keyed.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("m"))
     first = materialise(first.where("m > 1").select("c", F.col("first.row").alias("first")), "first")
-    gone = keyed.join(first, "c").where("row <> first").select("row")
+    # written first: its size is known then, and texts are dealt out only where it is too large to be sent around
+    gone = materialise(keyed.join(first, "c").where("row <> first").select("row"), "gone")
     names = [F.col(c) if c in ("doc_id", "text") else F.col("rest").getField(c).alias(c) for c in docs.columns]
     return rows.join(gone, "row", "left_anti").select(*names)

@@ -1,3 +1,4 @@
+import os
 from hashlib import sha256
 
 import corpus_pipeline
@@ -31,3 +32,18 @@ def test_secrets_leave_the_texts(spark):
 
 def test_empty_table(spark, empty):
     assert accepted(empty).count() == 0 and one_of_each(empty).count() == 0
+
+
+def test_what_a_stage_has_read_goes(spark, mixed_docs, tmp_path, monkeypatch):
+    mixed_docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    folders = []
+
+    def noted(df, name, real=corpus_pipeline.materialise):
+        out = real(df, name)
+        folders.append(out.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0])
+        return out
+
+    monkeypatch.setattr(corpus_pipeline, "materialise", noted)
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert [os.path.exists(f) for f in folders] == [False, False, False, True]
+    assert out.count() > 0 and spark.read.parquet(f"{tmp_path}/documents.parquet").count() == mixed_docs.count()
