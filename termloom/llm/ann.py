@@ -11,9 +11,11 @@ one, however many these are, and the nearest ones that hold ENOUGH times k
 entries; distances to what they hold are exact, in double precision.  A query
 that still lacks candidates meets all rows, stretch by stretch.
 
-Lists are split into chunks, and a list's queries into blocks, by hash: a vector
-that a third of all rows repeat is dealt over many tasks.  Each task returns its
-nearest for each query; Spark ranks them, before and after the shuffle.
+Lists are split into chunks by hash, and these dealt over GROUPS groups: a vector
+that a third of all rows repeat is dealt over many tasks.  A group meets the
+queries in blocks; it goes through its chunks one by one, keeps the nearest found
+so far for each query of the block, and returns these once, however many lists
+the query reads in it.  Spark ranks them, before and after the shuffle.
 
 There is a list for each PER_LIST rows up to MOST_LISTS; of larger tables the
 lists grow, and so does what a query reads.
@@ -52,6 +54,8 @@ APART = 0.1
 FLOOR = 1e-12
 #: Entries and queries of a task's matrix, and rows of a stretch where queries meet all rows.
 CHUNK, QUERIES, STRETCH = 2000, 500, 50_000
+#: Groups that chunks are dealt over, and queries of a block, about.
+GROUPS, BLOCK = 64, 20_000
 
 
 @dataclass
@@ -259,55 +263,85 @@ def closest(ids: np.ndarray, vectors: np.ndarray, own: int, query: np.ndarray, n
     return list(out.items())
 
 
+def merged(old: list[tuple[int, float]], new: list[tuple[int, float]], k: int) -> list[tuple[int, float]]:
+    """The k nearest different ids of both, ties to the smaller."""
+    out: dict[int, float] = {}
+    for far, j in sorted((far, j) for j, far in [*old, *new]):
+        out.setdefault(j, far)
+        if len(out) == k:
+            break
+    return list(out.items())
+
+
 def _compared(left: DataFrame, right: DataFrame, dim: int, k: int) -> DataFrame:
-    """query_id, vec_id, score: for each query (right: list, id, v) the k nearest of each list's entries (left).
+    """query_id, vec_id, score: for each query (right: list, id, v) the k nearest of its lists' entries (left) in each group.
 
-    Lists are dealt into chunks and their queries into blocks, by hash.
+    Lists are dealt by hash into chunks, chunks into groups and queries into blocks;
+    a chunk goes to the blocks with queries of its list.
     """
-    keys = ["list", "chunk", "block"]
-    parts = lambda df, size, name: df.groupBy("list").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / size)).cast("int").alias(name))
-    plan = materialise(parts(left, CHUNK, "chunks").join(parts(right, QUERIES, "blocks"), "list"), "list-parts")  # one row a list
-    dealt = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    entries = left.join(F.broadcast(plan), "list").select("list", dealt(F.col("chunks")).alias("chunk"), every(F.col("blocks")).alias("block"), F.lit(0).alias("side"), "id", "v")
-    asking = right.join(F.broadcast(plan), "list").select("list", every(F.col("chunks")).alias("chunk"), dealt(F.col("blocks")).alias("block"), F.lit(1).alias("side"), "id", "v")
+    keys = ["group", "block"]
+    blocks = max(1, -(-right.select("id").distinct().count() // BLOCK))
+    right = right.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    chunks = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / CHUNK)).cast("int").alias("chunks")
+    asked = right.groupBy("list").agg(F.collect_set("block").alias("blocks"))  # as many as there are blocks
+    plan = materialise(left.groupBy("list").agg(chunks).join(asked, "list"), "list-parts")  # one row a list
+    group = F.pmod(F.xxhash64("list", "chunk"), F.lit(GROUPS)).cast("int").alias("group")
+    columns = ["group", "block", "list", "chunk", "side", "id", "v"]
+    entries = left.join(F.broadcast(plan), "list").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")).withColumn("block", F.explode("blocks")).withColumns({"group": group, "side": F.lit(0)}).select(columns)
+    asking = right.join(F.broadcast(plan), "list").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"group": group, "side": F.lit(1)}).select(columns)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, waiting = None, [], []
+        key, place, held, waiting, best = None, None, [], [], {}
         for batch in batches:
             x = _matrix(batch.column("v"), dim)
-            lists, chunks, blocks, side, ids = (np.asarray(batch.column(c)) for c in (*keys, "side", "id"))
-            new = np.flatnonzero(np.concatenate(([True], (lists[1:] != lists[:-1]) | (chunks[1:] != chunks[:-1]) | (blocks[1:] != blocks[:-1]))))
+            *parts, side, ids = (np.asarray(batch.column(c)) for c in columns[:-1])
+            new = np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([c[1:] != c[:-1] for c in parts]))))
             for a, b in zip(new.tolist(), [*new[1:].tolist(), len(ids)], strict=True):
-                if (own := (lists[a], chunks[a], blocks[a])) != key:
-                    yield from answers(held, waiting)
-                    key, held, waiting = own, [], []
+                if (own := tuple(int(c[a]) for c in parts)) != place:
+                    nearer(best, held, waiting)
+                    place, held, waiting = own, [], []
+                    if own[:2] != key:
+                        yield from answers(best)
+                        key, best = own[:2], {}
                 for s, where in ((0, held), (1, waiting)):
                     rows = a + np.flatnonzero(side[a:b] == s)
                     if len(rows):
                         where.append((ids[rows], x[rows]))
-        yield from answers(held, waiting)
+        nearer(best, held, waiting)
+        yield from answers(best)
 
-    def answers(held: list, waiting: list) -> Iterator[pa.RecordBatch]:
+    def nearer(best: dict[int, list[tuple[int, float]]], held: list, waiting: list) -> None:
         if not held or not waiting:
             return
         (ids, vectors), (asked, queries) = ([np.concatenate(c) for c in zip(*part, strict=True)] for part in (held, waiting))
         norms = (vectors**2).sum(axis=1)
         for a in range(0, len(asked), QUERIES):
-            q = queries[a : a + QUERIES]
+            q, own_ids = queries[a : a + QUERIES], asked[a : a + QUERIES].tolist()
             rough = norms[None, :] - 2 * q @ vectors.T
             m = min(k + 1, len(ids))
             rough = np.where(np.isfinite(rough), rough, -np.inf)  # beyond double's squares: to be compared itself
             # all that rounding could put among the k nearest others; the distances themselves come from the vectors
-            edge = np.partition(rough, m - 1, axis=1)[:, m - 1] + 1e-9 * (norms.max() + (q**2).sum(axis=1))
-            out = []
-            for i, own in enumerate(asked[a : a + QUERIES].tolist()):
-                best = closest(ids, vectors, own, q[i], np.flatnonzero(rough[i] <= edge[i]), k)
-                if len(best) < k and m < len(ids):  # ids repeat
-                    best = closest(ids, vectors, own, q[i], np.arange(len(ids)), k)
-                out += [(own, j, far) for j, far in best]
-            if out:
-                q_ids, v_ids, scores = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids, pa.int64()), pa.array(v_ids, pa.int64()), pa.array(scores, pa.float64())], ["query_id", "vec_id", "score"])
-
-    return entries.unionByName(asking).repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(tidied(compare), "query_id long, vec_id long, score double")
+            squares = (q**2).sum(axis=1)
+            slack = 1e-9 * (norms.max() + squares)
+            edge = np.partition(rough, m - 1, axis=1)[:, m - 1] + slack
+            edge = np.where(np.isnan(edge), np.inf, edge)
+            # nothing that is farther than the k found so far
+            known = np.array([best[own][-1][1] if len(best.get(own, ())) == k else np.inf for own in own_ids])
+            bound = known**2 - squares + slack + 1e-9 * known**2
+            bound = np.where(np.isfinite(bound), bound, np.inf)
+            for i, own in enumerate(own_ids):
+                some = np.flatnonzero(rough[i] <= min(edge[i], bound[i]))
+                if not len(some):
+                    continue
+                found = closest(ids, vectors, own, q[i], some, k)
+                if len(found) < k and m < len(ids) and edge[i] < bound[i]:  # ids repeat
+                    found = closest(ids, vectors, own, q[i], np.arange(len(ids)), k)
+                best[own] = merged(best.get(own, []), found, k)
+
+    def answers(best: dict[int, list[tuple[int, float]]]) -> Iterator[pa.RecordBatch]:
+        rows = [(own, j, far) for own, found in best.items() for j, far in found]
+        for a in range(0, len(rows), 50_000):
+            q_ids, v_ids, scores = zip(*rows[a : a + 50_000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(q_ids, pa.int64()), pa.array(v_ids, pa.int64()), pa.array(scores, pa.float64())], ["query_id", "vec_id", "score"])
+
+    return entries.unionByName(asking).repartition(*keys).sortWithinPartitions(*keys, "list", "chunk", "side").mapInArrow(tidied(compare), "query_id long, vec_id long, score double")

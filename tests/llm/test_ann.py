@@ -100,3 +100,16 @@ def test_vectors_beyond_single_precision(spark):
     rows = [(i, [1e200 * (i + 1), 0.0]) for i in range(12)]
     got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
     assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(i, i, float("inf")) for i in range(1, 11)]
+
+
+def test_a_query_of_many_lists_returns_its_nearest_once_a_group(spark):
+    rng = np.random.default_rng(3)
+    x, q = rng.normal(size=(6000, 4)), rng.normal(size=(3, 4))
+    left = spark.createDataFrame([(i % 300, i, v.tolist()) for i, v in enumerate(x)], "list int, id long, v array<double>")
+    right = spark.createDataFrame([(n, -1 - i, v.tolist()) for i, v in enumerate(q) for n in range(300)], "list int, id long, v array<double>")
+    got = ann._compared(left, right, 4, 10).collect()
+    assert len(got) <= 3 * ann.GROUPS * 10  # not one for each of 300 lists
+    for i, v in enumerate(q):
+        far = np.sqrt(((x - v) ** 2).sum(axis=1))
+        want = [(float(far[j]), int(j)) for j in np.argsort(far)[:10]]
+        assert sorted({(r.score, r.vec_id) for r in got if r.query_id == -1 - i})[:10] == want
