@@ -68,3 +68,14 @@ def test_discarded_tables_are_gone_and_others_stay(spark, tmp_path):
     with pytest.raises(ValueError, match="no intermediate"):
         discard(spark.read.parquet(str(tmp_path / "own")))
     assert spark.read.parquet(str(tmp_path / "own")).count() == 3
+
+
+def test_words_are_split_once_a_row(spark):
+    from pyspark.sql import functions as F
+
+    from termloom.functions import morph
+
+    rows = spark.range(1).select(F.lit("de casa").alias("b"), F.lit("de casas").alias("s"), F.lit("es").alias("l"))
+    out = rows.select(morph.complement_changed(F.col("b"), F.col("s"), F.col("l")).alias("c"))
+    assert out.first().c
+    assert out._jdf.queryExecution().analyzed().toString().count("split(") == 2
