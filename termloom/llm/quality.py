@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from termloom.llm.common import materialise
 
 # White space, symbols, window and base limits of the contract.
-WHITE, SYMBOLS, WINDOW = r"[\x20\x09-\x0D]+", r"[#*$%&|<>]", 5
+WHITE, SYMBOLS, WINDOW = " \t\n\x0b\x0c\r", r"[#*$%&|<>]", 5
 LEAST_WORDS, MOST_REPEATED = 10, 20
 
 # Common words by language.
@@ -51,16 +51,19 @@ GUARD_CHARS, GUARD_WORDS, CHAR_LIMIT, WORD_LIMIT = 200, 80, 0.30, 0.60
 GUARD_COMMON, COUNTING, SPREAD, SHORT_OF = 10, 4.0, 3.0, 0.9
 
 
-def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, WHITE), lambda w: w != "")
+def _spaced(text: Column) -> Column:
+    """text with spaces for other white space: splitting at a space needs no regular expression."""
+    for c in WHITE[1:]:
+        text = F.replace(text, F.lit(c), F.lit(WHITE[0]))
+    return text
 
 
 def _array_sum(a: Column, kind: str) -> Column:
     return F.aggregate(a, F.lit(0).cast(kind), lambda acc, x: acc + x.cast(kind))
 
 
-def _shares(a: Column) -> Column:
-    return F.transform(a, lambda x: x / F.greatest(_array_sum(a, "double"), F.lit(1.0)))
+def _shares(a: Column, total: Column) -> Column:
+    return F.transform(a, lambda x: x / F.greatest(total.cast("double"), F.lit(1.0)))
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -71,36 +74,49 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """Counts and histograms of each document, in one pass over its text."""
+    """Counts and histograms of each document, in one pass over its text.
+
+    Where a lambda names a column that has no other use, Spark computes it anew
+    for each element; so hits is named twice.
+    """
     df = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    df = df.select("doc_id", "lang", "text", words_of(F.col("text")).alias("words"), F.filter(F.split("text", "\n", -1), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0).alias("lines"))
-    df = df.select("doc_id", "lang", "text", "words", "lines", F.size("words").cast("long").alias("n_words"), F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    window = F.transform(F.sequence(F.lit(0), F.size("h") - WINDOW), lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(WINDOW)]))
-    df = df.withColumn("w", F.when(F.col("n_words") >= WINDOW, window).otherwise(F.array().cast("array<bigint>"))).drop("h")
-    # only texts with a repeated window sort theirs; then the windows that equal a neighbour give the covered words
-    df = df.withColumn("s", F.when(F.size(F.array_distinct("w")) < F.size("w"), F.sort_array(F.transform("w", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))).drop("w")
-    same = lambda e, j, k: F.coalesce(F.get("s", j + k)["x"] == e["x"], F.lit(False))
-    df = df.withColumn("at", F.sort_array(F.transform(F.filter("s", lambda e, j: (same(e, j, -1) & (j > 0)) | same(e, j, 1)), lambda e: e["i"]))).drop("s")
-    covered = _array_sum(F.transform("at", lambda p, j: F.least(F.lit(WINDOW), F.coalesce(F.get("at", j + 1) - p, F.lit(WINDOW)))), "long")
+    df = df.withColumn("spaced", _spaced(F.col("text")))
+    df = df.select(
+        "doc_id", "lang", F.length("text").cast("long").alias("chars"),
+        F.array_remove(F.split("spaced", " "), "").alias("words"),
+        F.replace("spaced", F.lit(" "), F.lit("")).alias("packed"),
+        F.filter(F.split("text", "\n", -1), lambda x: F.ltrim(x, F.lit(WHITE)) != "").alias("lines"),
+    )
+    n = F.size("words")
+    upto = lambda a, at, less: F.slice(a, F.lit(at), F.greatest(F.lit(0), n - less))
+    both = lambda a, b: F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
     common = sorted({w for own in COMMON.values() for w in own})
     df = df.select(
-        "doc_id", "lang", "n_words",
-        _array_sum(F.transform("words", lambda w: F.length(w)), "long").alias("word_chars"),
-        F.length("text").cast("long").alias("chars"),
-        F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        "doc_id", "lang", "chars", "words", n.cast("long").alias("n_words"),
+        F.length("packed").cast("long").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).alias("n_repeat_words"),
         F.filter("words", lambda w: w.isin(common)).alias("hits"),
-        F.regexp_count("text", F.lit("[A-Z]")).cast("long").alias("upper"),
-        F.regexp_count("text", F.lit("[0-9]")).cast("long").alias("digit"),
-        F.regexp_count("text", F.lit(r"[.,;:!?()\"'/_-]")).cast("long").alias("mark"),
-        F.length(F.regexp_replace("text", r"[\x00-\x7F]+", "")).cast("long").alias("wide"),
+        both(upto("words", 1, 1), upto("words", 2, 1)).alias("pairs"),
+        F.length(F.regexp_replace("packed", r"[\x00-\x7F]+", "")).cast("long").alias("wide"),
+        F.regexp_replace("packed", r"[^\x00-\x60\x7B-\x7F]+", "").alias("rest"),
     )
+    # two words, then four, then the WINDOW of five
+    df = df.withColumn("w", both(both(upto("pairs", 1, 4), upto("pairs", 3, 4)), upto("words", 5, 4))).drop("words", "pairs")
+    # only texts with a repeated window sort theirs; then the windows that equal their neighbour give the covered words
+    df = df.withColumn("s", F.when(F.size(F.array_distinct("w")) < F.size("w"), F.sort_array(F.transform("w", lambda x, i: F.struct(x.alias("x"), i.alias("i")))))).drop("w")
+    equal = F.array_compact(F.zip_with("s", F.slice("s", F.lit(2), F.size("s")), lambda a, b: F.when(a["x"] == b["x"], F.array(a["i"], b["i"]))))
+    df = df.withColumn("at", F.sort_array(F.array_distinct(F.flatten(equal)))).drop("s")
+    covered = _array_sum(F.zip_with("at", F.slice("at", F.lit(2), F.size("at")), lambda p, after: F.least(F.lit(WINDOW), F.coalesce(after - p, F.lit(WINDOW)))), "long")
     own = F.array().cast("array<string>")
     for lang, listed in COMMON.items():
         own = F.when(F.col("lang") == lang, F.array(*[F.lit(w) for w in listed])).otherwise(own)
-    counts = F.transform(own, lambda v: F.size(F.filter("hits", lambda w: w == v)).cast("long"))
-    df = df.withColumn("common", counts).drop("hits")
+    counts = F.transform(own, lambda v: (F.size("hits") - F.size(F.array_remove("hits", v))).cast("long"))
+    df = df.select(
+        "doc_id", "lang", "chars", "n_words", "word_chars", "n_dup_lines", "wide",
+        F.coalesce(covered, F.lit(0)).alias("n_repeat_words"),
+        counts.alias("common"),
+        *[F.regexp_count("rest", F.lit(of)).cast("long").alias(name) for name, of in (("n_symbols", SYMBOLS), ("upper", "[A-Z]"), ("digit", "[0-9]"), ("mark", r"[.,;:!?()\"'/_-]"))],
+    )
     classes = {"white": F.col("chars") - F.col("word_chars"), "symbol": F.col("n_symbols"), **{c: F.col(c) for c in ("upper", "digit", "mark", "wide")}}
     classes["other"] = F.greatest(F.lit(0), F.col("chars") - sum(classes.values(), F.lit(0)))
     base_failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
@@ -114,12 +130,13 @@ def features(docs: DataFrame) -> DataFrame:
 def quality(docs: DataFrame, char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
     """doc_id, the counts, base_failed, kept, and the distances (null below a guard)."""
     rows = materialise(features(docs), "quality")
-    rows = rows.withColumns({"p": _shares(F.col("char_counts")), "q": _shares(F.col("word_counts"))})
+    rows = rows.withColumns({"p": _shares(F.col("char_counts"), F.col("chars")), "q": _shares(F.col("word_counts"), F.col("n_words"))})
     sizes = {"p": len(CLASSES), "q": max(map(len, COMMON.values())) + 1}
     steady = rows.where(~F.col("base_failed") & (F.col("chars") >= GUARD_CHARS) & (F.col("n_words") >= GUARD_WORDS))
     means = [F.avg(F.get(name, F.lit(i))).alias(f"{name}{i}") for name, n in sizes.items() for i in range(n)]
     reference = steady.groupBy("lang").agg(*means).select(F.col("lang"), *[F.filter(F.array(*[f"{name}{i}" for i in range(n)]), lambda x: x.isNotNull()).alias(f"{name}_ref") for name, n in sizes.items()])
-    rows = rows.join(reference, "lang", "left")
+    # once written, a table of one row a language has a known size: Spark broadcasts it while small, and rows aren't dealt out by language
+    rows = rows.join(materialise(reference, "references"), "lang", "left")
     far = lambda own, n, least, limit: F.when((F.col(n) >= least) & F.col(f"{own}_ref").isNotNull(), distance(F.col(own), F.col(f"{own}_ref")))
     rows = rows.withColumns({"char_distance": far("p", "chars", GUARD_CHARS, char_limit), "word_distance": far("q", "n_words", GUARD_WORDS, word_limit)})
     # the squared distance of n words drawn from a reference of k bars is about chi-squared / (8 n ln 2), with k - 1 degrees of freedom
@@ -128,7 +145,7 @@ def quality(docs: DataFrame, char_limit: float = CHAR_LIMIT, word_limit: float =
     beyond = F.sqrt(F.greatest(F.lit(0.0), F.pow("word_distance", F.lit(2.0)) - free * unit))
     part = lambda at: F.percentile_approx("beyond", F.lit(at), F.lit(1000))
     spread = rows.where(~F.col("base_failed") & (F.col("chars") >= GUARD_CHARS)).select("lang", beyond.alias("beyond")).groupBy("lang").agg((part(0.5) + SPREAD * (part(0.75) - part(0.25)) / 1.349).alias("spread"))
-    rows = rows.join(spread, "lang", "left")
+    rows = rows.join(materialise(spread, "spreads"), "lang", "left")
     counted = F.sqrt(F.pow("spread", F.lit(2.0)) + (free + COUNTING * F.sqrt(2 * free)) * unit)
     bare = F.transform("q_ref", lambda _, i: F.when(i == F.size("q_ref") - 1, 1.0).otherwise(0.0))
     expected = F.col("n_words") * (1 - F.element_at("q_ref", -1))

@@ -122,3 +122,41 @@ def test_verdicts_match_brute_force(spark):
     got = {r.doc_id: r.kept for r in quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert got == want and len(set(want.values())) == 2
     assert any(not want[i] and not docs[i][5] and far(docs[i][1], references[docs[i][4]][0]) <= q.CHAR_LIMIT for i in docs)  # words alone reject some
+
+
+def test_words_are_gone_through_once_a_document(mixed_docs):
+    """Spark computes what a lambda names anew for each element, if it is used nowhere else."""
+    from termloom.llm.quality import features
+
+    plan = features(mixed_docs)._jdf.queryExecution().optimizedPlan().toString()
+    bodies = []
+    for at in re.finditer(r"lambdafunction\(", plan):
+        depth, end = 1, at.end()
+        while depth:
+            depth += {"(": 1, ")": -1}.get(plan[end], 0)
+            end += 1
+        bodies.append(plan[at.end() : end])
+    assert bodies and not [b for b in bodies if re.search(r"(filter|transform|zip_with|split|regexp_\w+|sort_array)\(", b)]
+    # regular expressions that must look at each character see what is left without words' small letters
+    assert not re.search(r"regexp_extract_all\(text", plan)
+
+
+def test_repeats_that_touch_overlap_and_stand_at_the_ends(spark):
+    texts = ["a b c d e a b c d e", "a b c d e x a b c d e y z a b c d e", "a a a a a a", "a a a a a", "a b c d", "a b c d e f a b c d e f", " a\tb\nc\x0bd\x0ce\ra b c d e\t", "p q a b c d e r s t u a b c d f", "a b c d e b c d e a b c d e b"]
+    rows = quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'en' as lang")).collect()
+    assert [r.n_repeat_words for r in sorted(rows)] == [brute(t)[4] for t in texts]
+
+
+def test_rows_are_not_dealt_out_by_language(spark):
+    """The languages' table is small beside the rows, and its size is known when the join is planned."""
+    from pyspark.sql import functions as F
+
+    words = F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.substring(F.sha2((F.col("id") * 100 + i).cast("string"), 256), 1, 6))
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.array_join(words, " ").alias("text"), F.lit("en").alias("lang"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "40k")
+    try:
+        plan = quality(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan
